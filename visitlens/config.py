@@ -134,6 +134,8 @@ class VisitMartConfig:
     # what to do with pass-through columns absent from the visits table:
     # "error", "drop" or "null"
     missing_columns: str = "error"
+    # compute first touch once and checkpoint it (it has three consumers)
+    materialize_touches: bool = True
 
 
 @dataclass(frozen=True)

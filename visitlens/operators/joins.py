@@ -6,18 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
+_BOUND_CHECKS: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (memoised per DataFrame).
+
+    Checked with ``limit(max_rows + 1).count()``, which stops reading as soon
+    as the bound is exceeded.
+    """
+    key = (id(df), max_rows)
+    hit = _BOUND_CHECKS.get(key)
+    if hit is not None and hit[0] is df:
+        return hit[1]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    _BOUND_CHECKS[key] = (df, ok)
+    return ok
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, table: DataFrame | None = None) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
-    The bound is checked with ``limit(max_rows + 1).count()``, which stops
-    reading as soon as the bound is exceeded. Beyond the bound the frame is
-    returned unhinted, and the planner falls back to a shuffled join (adaptive
-    execution may still pick a broadcast from measured shuffle sizes). Meant
-    for dimension tables - catalog maps whose size follows the catalog, not the
-    traffic.
+    ``table`` is the stored dimension ``df`` is a projection of; its row count
+    bounds ``df``'s and the check is memoised on it, so several projections of
+    one dimension cost one check. Beyond the bound the frame is returned
+    unhinted and the planner uses a shuffled join (adaptive execution may still
+    switch to a broadcast from measured shuffle sizes). Meant for dimension
+    tables - catalog maps whose size follows the catalog, not the traffic.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if has_at_most(table if table is not None else df, max_rows) else df
 
 
 def left_join_nullable_key(left: DataFrame, right: DataFrame, left_key: str,

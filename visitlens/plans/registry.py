@@ -83,7 +83,7 @@ def q_latest_cart(spark, sf_dir):
 
 def q_attribution_repair(spark, sf_dir):
     t = TestdataTables(spark, sf_dir)
-    touches = vm.visit_touches(t, visit_cfg())
+    touches = vm.shared_touches(t, visit_cfg())
     donors = touch.donor_carts(touch.latest_carts(t["carts"]), touches, with_attributes=True)
     return attribution_repair(touches, t["goals"], t["order_items"], donors)
 

@@ -48,18 +48,18 @@ def sku_totals(items: DataFrame, sku_map: DataFrame, products: DataFrame,
                imps: DataFrame, cfg: SkuMartConfig) -> DataFrame:
     """J18-J20 + F16 + F17 + G12 + P20.
 
-    The impressions table has one row per SKU of the catalog and is broadcast
-    behind the same row bound as the dimension tables.
+    The SKU map and the product master are broadcast behind the row bound. The
+    impressions table is derived (an aggregate per SKU); counting it up front
+    would compute it twice, so its join is left to adaptive execution, which
+    broadcasts it only if its measured shuffle output is small.
     """
     skus = broadcast_if_bounded(sku_map.select(
         F.col("catalog_item_id").cast("string").alias("catalog_item_id"),
-        F.col("akeneo_sku").alias("map_sku")), cfg.broadcast_max_rows)
+        F.col("akeneo_sku").alias("map_sku")), cfg.broadcast_max_rows, sku_map)
     prods = broadcast_if_bounded(products.select(
         F.lower("akeneo_sku").alias("sku_key"), F.col("akeneo_sku").alias("product_sku")),
-        cfg.broadcast_max_rows)
-    imp = broadcast_if_bounded(imps.select(
-        F.lower("akeneo_sku").alias("imp_key"), F.col("impressions").alias("imp")),
-        cfg.broadcast_max_rows)
+        cfg.broadcast_max_rows, products)
+    imp = imps.select(F.lower("akeneo_sku").alias("imp_key"), F.col("impressions").alias("imp"))
     j = items.join(skus, "catalog_item_id", "left")
     j = j.join(prods, F.lower(j["akeneo_sku"]) == prods["sku_key"], "left")
     j = j.join(imp, F.lower(F.coalesce(j["akeneo_sku"], j["map_sku"])) == imp["imp_key"], "left")

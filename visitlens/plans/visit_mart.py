@@ -93,9 +93,23 @@ def visit_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     return first_touch(logs, t["visits"], cfg.site_rules)
 
 
+def shared_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
+    """First touch, computed once for its three consumers.
+
+    First touch feeds the donor carts (J2), the repair (J3) and the final rows
+    (J7). Left to the optimizer, each consumer prunes it differently and the
+    whole log is scanned and shuffled again per consumer. First touch has one
+    row per visit - far smaller than the logs - so it is checkpointed into the
+    shared checkpoint folder: computed once, lineage cut, and safe against
+    executor loss. ``cfg.materialize_touches=False`` keeps it lazy.
+    """
+    touches = visit_touches(t, cfg)
+    return touches.checkpoint(eager=True) if cfg.materialize_touches else touches
+
+
 def end_data(t: Tables, cfg: VisitMartConfig, touches: DataFrame | None = None) -> DataFrame:
     """First touch with repaired attribution (the original's ``end_data``)."""
-    touches = touches if touches is not None else visit_touches(t, cfg)
+    touches = touches if touches is not None else shared_touches(t, cfg)
     donors = donor_carts(latest_carts(t["carts"]), touches, with_attributes=True)
     repairs = attribution_repair(touches, t["goals"], t["order_items"], donors)
     return apply_repair(touches, repairs)
@@ -173,8 +187,7 @@ def project_mart(df: DataFrame, cfg: VisitMartConfig) -> DataFrame:
 
 def build_visit_mart(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     """The full visit mart for the trailing ``cfg.days`` days up to ``cfg.as_of``."""
-    touches = visit_touches(t, cfg)
-    f_data = with_url_params(end_data(t, cfg, touches), cfg.product_id_null_on_miss)
+    f_data = with_url_params(end_data(t, cfg), cfg.product_id_null_on_miss)
     sales = visit_sales(t["visit_orders"], t["profit_loss"], cfg.as_of, cfg.days)
     visits_window = t["visits"].where(
         trailing_days("first_action_datetime_est", cfg.as_of, cfg.days))

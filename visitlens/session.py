@@ -23,6 +23,8 @@ JOB_CONF = {
     # timestamps in the inputs are wall-clock Eastern time without zone; never
     # shift them
     "spark.sql.session.timeZone": "UTC",
+    # delete checkpoint files (lineage cuts) once their DataFrame is gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
