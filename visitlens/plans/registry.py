@@ -281,3 +281,23 @@ QUERIES: dict[str, Query] = {
     "sku_mart": q_sku_mart,
     "sink_partitioned": q_sink_partitioned,
 }
+
+
+def q_sink_insert_into(spark, sf_dir):
+    """K3: the same two runs through ``insertInto`` of a partitioned catalog table."""
+    from visitlens.sinks import write_insert_into
+
+    path = scratch_path(spark, "visit-mart-table")
+    table = "visit_mart_k3_" + path.rsplit("-", 1)[-1]
+    cfg = visit_cfg()
+    first = vm.build_visit_mart(TestdataTables(spark, sf_dir), visit_cfg(dt.date(2024, 1, 24)))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in first.schema.fields)
+    spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet "
+              f"PARTITIONED BY (first_action_date_est) LOCATION '{path}'")
+    write_insert_into(first, table, by="first_action_date_est", cluster="visit_id")
+    second = vm.build_visit_mart(TestdataTables(spark, sf_dir), cfg)
+    write_insert_into(second, table, by="first_action_date_est", cluster="visit_id")
+    return spark.read.parquet(path).select(*second.columns)
+
+
+QUERIES["sink_insert_into"] = q_sink_insert_into

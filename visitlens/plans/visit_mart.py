@@ -31,6 +31,7 @@ from visitlens.operators.repair import END_DATA_COLUMNS, apply_repair, attributi
 from visitlens.operators.sales import PROFIT_COLUMNS, SALES_TAIL, visit_sales
 from visitlens.operators.touch import (VISIT_ATTRIBUTES, donor_carts, first_touch,
                                        latest_carts, window_logs)
+from visitlens.session import ensure_checkpoint_dir
 from visitlens.sources.tables import Tables
 
 # Output contract: the mart's 138 columns, in order.
@@ -104,7 +105,10 @@ def shared_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     executor loss. ``cfg.materialize_touches=False`` keeps it lazy.
     """
     touches = visit_touches(t, cfg)
-    return touches.checkpoint(eager=True) if cfg.materialize_touches else touches
+    if not cfg.materialize_touches:
+        return touches
+    ensure_checkpoint_dir(touches.sparkSession)
+    return touches.checkpoint(eager=True)
 
 
 def end_data(t: Tables, cfg: VisitMartConfig, touches: DataFrame | None = None) -> DataFrame:

@@ -3,33 +3,46 @@
 * K1 :func:`write_partitioned` - overwrite a date-partitioned table, replacing
   only the partitions present in the frame (dynamic partition overwrite).
 * K2 :func:`write_jdbc` - replace a relational table with the frame.
-* K3 :func:`write_insert_into` - ``insertInto`` an existing catalog table.
+* K3 :func:`write_insert_into` - ``insertInto`` an existing partitioned catalog
+  table, again replacing only the partitions present.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession):
+    """Overwrite only the partitions a write produces, whatever the session says."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    prev = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        if prev is not None:
+            spark.conf.set(key, prev)
+
+
+def _clustered(df: DataFrame, by: str | None, cluster: str | None) -> DataFrame:
+    """Range-partition by ``(by, cluster)``: each task writes one or two partition
+    folders with evenly sized files, and no task receives a whole date."""
+    return df.repartitionByRange(by, cluster) if by and cluster else df
+
+
 def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet",
                       cluster: str | None = None, merge_schema: bool = True) -> None:
     """K1: overwrite the partitions of ``path`` that ``df`` contains.
 
-    ``cluster`` (a column, e.g. the visit id) range-partitions the rows by
-    ``(by, cluster)`` before writing: every task then writes one or two
-    partition folders with evenly sized files, instead of every task writing a
-    small file into every date. Without it the frame's own partitioning is kept.
+    Without ``cluster`` the frame's own partitioning is kept (every task may
+    then write a small file into every date it holds).
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out = df.repartitionByRange(by, cluster) if cluster else df
-        (out.write.format(fmt).mode("overwrite").partitionBy(by)
+    with dynamic_overwrite(df.sparkSession):
+        (_clustered(df, by, cluster).write.format(fmt).mode("overwrite").partitionBy(by)
             .option("mergeSchema", str(merge_schema).lower()).save(path))
-    finally:
-        if prev is not None:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
 def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -51,8 +64,8 @@ def write_insert_into(df: DataFrame, table: str, by: str | None = None,
                       cluster: str | None = None) -> None:
     """K3: ``insertInto`` an existing partitioned catalog table with overwrite.
 
-    Rows are range-partitioned by ``(by, cluster)`` so no single task receives a
-    whole date.
+    Columns are matched by position, so ``df`` must follow the table's order
+    (partition column last).
     """
-    out = df.repartitionByRange(by, cluster) if by and cluster else df
-    out.write.mode("overwrite").insertInto(table)
+    with dynamic_overwrite(df.sparkSession):
+        _clustered(df, by, cluster).write.mode("overwrite").insertInto(table)

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The original jobs are scheduled batch jobs - one bounded read and one
+overwrite per run, no stream sources, watermarks, windows or state. Their
+daily refresh is reproduced in batch (:mod:`visitlens.plans.jobs`, dynamic
+partition overwrite), so nothing here is needed.
+"""
