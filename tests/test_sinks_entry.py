@@ -30,3 +30,25 @@ def test_entry_and_registry_contract(spark):
     assert set(o) <= set(q) and len(q) >= 27
     assert df.schema == E.entry(spark).schema   # stable schema
     assert df.where(F.col("first_action_date_est").isNull()).count() == 0
+
+
+def test_daily_chain_and_cart_lookback(spark):
+    import dataclasses
+
+    from visitlens.plans import registry as R
+    from visitlens.plans import visit_mart as vm
+    from visitlens.plans.jobs import run_daily
+    from visitlens.sources import TestdataTables
+
+    sf = "/root/testdata/sf0.001"
+    t = TestdataTables(spark, sf)
+    vp, sp = scratch_path(spark, "daily-vm"), scratch_path(spark, "daily-sm")
+    run_daily(t, R.visit_cfg(), R.sku_cfg(), vp, sp)
+    sku = spark.read.parquet(sp)
+    assert sku.count() > 0 and sku.columns[0] == "akeneo_sku"
+    assert read_partitioned(spark, vp).count() == R.q_visit_mart(spark, sf).count()
+
+    bounded = dataclasses.replace(R.visit_cfg(), cart_lookback_days=3)
+    repaired = vm.end_data(TestdataTables(spark, sf), bounded)
+    assert repaired.count() == vm.end_data(TestdataTables(spark, sf), R.visit_cfg()).count() \
+        or repaired.count() > 0

@@ -136,6 +136,10 @@ class VisitMartConfig:
     missing_columns: str = "error"
     # compute first touch once and checkpoint it (it has three consumers)
     materialize_touches: bool = True
+    # The original reads the whole abandoned-cart history every run (no date
+    # bound). None reproduces that; a number of days bounds the cart scan
+    # (pushed into the scan) and changes results only for carts older than it.
+    cart_lookback_days: int | None = None
 
 
 @dataclass(frozen=True)

@@ -36,7 +36,9 @@ def url_path(url) -> Column:
 
 def clean_url(url) -> Column:
     """Drop the mojibake characters one by one, lower-case, drop the query."""
-    removed = F.translate(_col(url), "".join(C.MOJIBAKE_CHARS), "")
+    removed = _col(url)
+    for ch in C.MOJIBAKE_CHARS:
+        removed = F.replace(removed, F.lit(ch), F.lit(""))
     return F.substring_index(F.lower(removed), "?", 1)
 
 

@@ -114,7 +114,10 @@ def shared_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
 def end_data(t: Tables, cfg: VisitMartConfig, touches: DataFrame | None = None) -> DataFrame:
     """First touch with repaired attribution (the original's ``end_data``)."""
     touches = touches if touches is not None else shared_touches(t, cfg)
-    donors = donor_carts(latest_carts(t["carts"]), touches, with_attributes=True)
+    carts = t["carts"]
+    if cfg.cart_lookback_days is not None:
+        carts = carts.where(trailing_days("datetime_est", cfg.as_of, cfg.cart_lookback_days))
+    donors = donor_carts(latest_carts(carts), touches, with_attributes=True)
     repairs = attribution_repair(touches, t["goals"], t["order_items"], donors)
     return apply_repair(touches, repairs)
 
