@@ -13,6 +13,8 @@ URL is not lower-cased. No match yields ``''`` (Spark).
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,9 +91,15 @@ PARAM_COLUMNS = ("campaign_id", "mms_campaign_id", "utm_source", "mms_channel_id
                  "adgroup_id", "keyword_id", "product_id", "creative_id", "is_dsa_ad")
 
 
-def url_param_columns(url, null_on_miss: bool = False) -> list[Column]:
-    """All nine parameter columns, aliased, in the mart's order."""
-    return [
+def url_param_columns(url: str = "url", null_on_miss: bool = False) -> list[Column]:
+    """All nine parameter columns of the column named ``url``, aliased, in the mart's order."""
+    return list(_param_columns(url, null_on_miss))
+
+
+@lru_cache(maxsize=32)
+def _param_columns(url: str, null_on_miss: bool) -> tuple[Column, ...]:
+    # built once per (column, flag): the expressions are unresolved and reusable
+    return (
         campaign_id(url).alias("campaign_id"),
         mms_campaign_id(url).alias("mms_campaign_id"),
         utm_source(url).alias("utm_source"),
@@ -101,4 +109,4 @@ def url_param_columns(url, null_on_miss: bool = False) -> list[Column]:
         product_id(url, null_on_miss).alias("product_id"),
         creative_id(url).alias("creative_id"),
         is_dsa_ad(url).alias("is_dsa_ad"),
-    ]
+    )

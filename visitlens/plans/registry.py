@@ -94,7 +94,7 @@ def q_attribution_override(spark, sf_dir):
 
 def q_url_params(spark, sf_dir):
     w = TestdataTables(spark, sf_dir)["web"]
-    return w.select("event_id", "url", *url_param_columns(F.col("url")))
+    return w.select("event_id", "url", *url_param_columns("url"))
 
 
 def q_order_id_part(spark, sf_dir):

@@ -23,7 +23,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.config import VisitMartConfig
+from functools import lru_cache
+
+from pyspark.sql import Column
+
+from visitlens.config import ChannelRules, VisitMartConfig
 from visitlens.functions.channels import channel_id, channel_label, is_google_display_ad
 from visitlens.functions.lookback import trailing_days
 from visitlens.functions.params import PARAM_COLUMNS, url_param_columns
@@ -84,8 +88,6 @@ FROM_VISIT_ROWS = {"date_est", "visit_id", "url", "site", *PARAM_COLUMNS, "chann
                    *SALES_TAIL, *VISIT_ATTRIBUTES}
 CONSTANTS = {"sub_store_id", "store_id", "site_url"}
 
-F_DATA_COLUMNS = [*END_DATA_COLUMNS[:5], *PARAM_COLUMNS, *VISIT_ATTRIBUTES]
-
 
 # --- steps ----------------------------------------------------------------
 
@@ -124,18 +126,27 @@ def end_data(t: Tables, cfg: VisitMartConfig, touches: DataFrame | None = None)
 
 def with_url_params(df: DataFrame, null_on_miss: bool = False) -> DataFrame:
     """P22-P30 on ``url`` (the original's ``f_data``)."""
-    return df.select("visit_id", "visitor_ip", "datetime_est", "site", "url",
-                     *url_param_columns(F.col("url"), null_on_miss), *VISIT_ATTRIBUTES)
+    return df.select(*END_DATA_COLUMNS[:4], "url", *url_param_columns("url", null_on_miss),
+                     *VISIT_ATTRIBUTES)
+
+
+@lru_cache(maxsize=16)
+def _channel_exprs(rules: ChannelRules) -> tuple[Column, Column, Column]:
+    """Resolved channel id, display flag and label over the f_data column names.
+
+    Built once per rule set: the expressions are unresolved, so one instance
+    serves every DataFrame (building ~150 Column objects per plan is driver time).
+    """
+    cid = channel_id("mms_channel_id", "campaign_source", "campaign_medium", "ad_provider_id",
+                     "referrer_type", "referrer_name", "url", "utm_source", rules)
+    return cid, is_google_display_ad("campaign_source", rules), channel_label("mms_channel_id", rules)
 
 
 def with_channel(df: DataFrame, cfg: VisitMartConfig) -> DataFrame:
     """P35 (channel id replaces the URL channel id), P36, P39."""
-    rules = cfg.channel_rules
-    return (df.withColumn("mms_channel_id", channel_id(
-                "mms_channel_id", "campaign_source", "campaign_medium", "ad_provider_id",
-                "referrer_type", "referrer_name", "url", "utm_source", rules))
-            .withColumn("is_google_display_ad", is_google_display_ad("campaign_source", rules))
-            .withColumn("channel", channel_label("mms_channel_id", rules)))
+    cid, display, label = _channel_exprs(cfg.channel_rules)
+    return (df.withColumns({"mms_channel_id": cid, "is_google_display_ad": display})
+              .withColumn("channel", label))
 
 
 def join_sales(f_data: DataFrame, sales: DataFrame) -> DataFrame:
@@ -169,19 +180,20 @@ def attach_to_visits(visits_window: DataFrame, f_data: DataFrame,
                      *[c for c in sales.columns if c != "visit_id"])
     j = (v.join(f, F.col("_av_visit_id") == F.col("_f_visit_id"), "left")
           .join(s, F.col("_av_visit_id") == F.col("_s_visit_id"), "left"))
-    return (j.withColumn("date_est", F.coalesce("datetime_est", "report_datetime"))
-             .withColumn("visit_id", F.coalesce("_s_visit_id", "_f_visit_id")))
+    return j.withColumns({"date_est": F.coalesce("datetime_est", "report_datetime"),
+                          "visit_id": F.coalesce("_s_visit_id", "_f_visit_id")})
 
 
 def project_mart(df: DataFrame, cfg: VisitMartConfig) -> DataFrame:
     """Constants, renames and the fixed column order."""
-    df = (df.withColumn("sub_store_id", F.lit(cfg.store_id))
-            .withColumn("store_id", F.lit(cfg.store_id))
-            .withColumn("site_url", F.lit("")))
+    constants = {"sub_store_id": F.lit(cfg.store_id), "store_id": F.lit(cfg.store_id),
+                 "site_url": F.lit("")}
     cols = []
     missing = []
     for c in MART_COLUMNS:
-        if c in df.columns:
+        if c in constants:
+            cols.append(constants[c].alias(c))
+        elif c in df.columns:
             cols.append(F.col(c))
         elif cfg.missing_columns == "null":
             cols.append(F.lit(None).cast("string").alias(c))
