@@ -66,17 +66,43 @@ class ParquetTables(Tables):
         return self.spark.read.parquet(self.paths[name])
 
 
+# (application id, sf dir, view) -> path of the stored view
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 class TestdataTables(Tables):
-    """The stand-in views of :mod:`visitlens.sources.standins` over ``sf_dir``."""
+    """The stand-in views of :mod:`visitlens.sources.standins` over ``sf_dir``.
+
+    The generated test files hold one row group each, so every scan of them is
+    a single task. The views named in ``store`` (by default ``web``, the root
+    of the visit-log stand-ins) are therefore written once per application and
+    test-data folder as a multi-file parquet table in the shared checkpoint
+    folder and read from there - as the stored, multi-file tables they stand
+    for would be. Pass ``store=()`` to derive every view on the fly.
+    """
 
     __test__ = False  # not a pytest class
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, store: tuple[str, ...] = ("web",)):
         super().__init__(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self.store = tuple(store)
 
-    def _load(self, name: str) -> DataFrame:
+    def _derive(self, name: str) -> DataFrame:
         if name in standins.BASE_TABLES or name not in standins.VIEWS:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         refs = {d: self[d] for d in standins.dependencies(name)}
         return self.spark.sql(standins.VIEWS[name], **refs)
+
+    def _load(self, name: str) -> DataFrame:
+        if name not in self.store:
+            return self._derive(name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORED:
+            from visitlens.session import scratch_path
+
+            path = scratch_path(self.spark, f"standin-{name}")
+            files = max(2 * self.spark.sparkContext.defaultParallelism, 2)
+            self._derive(name).repartition(files).write.parquet(path)
+            _STORED[key] = path
+        return self.spark.read.parquet(_STORED[key])
