@@ -61,3 +61,21 @@ def test_daily_chain_and_cart_lookback(spark):
     everything = repaired(R.visit_cfg())
     bounded = repaired(dataclasses.replace(R.visit_cfg(), cart_lookback_days=3))
     assert everything and bounded <= everything and len(bounded) < len(everything)
+
+
+def test_visit_span_bound_is_exact_when_visits_are_short(spark):
+    """Test visits never span a day boundary, so a one-day bound changes nothing."""
+    import dataclasses
+
+    from visitlens.plans import registry as R
+    from visitlens.plans import visit_mart as vm
+    from visitlens.sources import TestdataTables
+
+    sf = "/root/testdata/sf0.001"
+    cfg = dataclasses.replace(R.visit_cfg(), visit_span_days=1)
+    touches = vm.visit_touches(TestdataTables(spark, sf), cfg)
+    plan = touches._jdf.queryExecution().executedPlan().toString()
+    assert "2024-01-16" in plan      # window start minus one day bounds the visit master
+    bounded = vm.build_visit_mart(TestdataTables(spark, sf), cfg)
+    full = vm.build_visit_mart(TestdataTables(spark, sf), R.visit_cfg())
+    assert bounded.exceptAll(full).count() == 0 and full.exceptAll(bounded).count() == 0

@@ -140,6 +140,12 @@ class VisitMartConfig:
     # bound). None reproduces that; a number of days bounds the cart scan
     # (pushed into the scan) and changes results only for carts older than it.
     cart_lookback_days: int | None = None
+    # First touch takes campaign attributes from the visit master for every
+    # visit with log rows in the window (J1), and a visit that began before the
+    # window may still log inside it, so by default the whole master is read.
+    # If visits never last longer than this many days, only visits that began
+    # at most that long before the window are read (pushed into the scan).
+    visit_span_days: int | None = None
 
 
 @dataclass(frozen=True)

@@ -93,7 +93,11 @@ CONSTANTS = {"sub_store_id", "store_id", "site_url"}
 
 def visit_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     logs = window_logs(t["visit_events"], t["visit_actions"], cfg.as_of, cfg.days)
-    return first_touch(logs, t["visits"], cfg.site_rules)
+    visits = t["visits"]
+    if cfg.visit_span_days is not None:
+        visits = visits.where(trailing_days("first_action_datetime_est", cfg.as_of,
+                                            cfg.days + cfg.visit_span_days))
+    return first_touch(logs, visits, cfg.site_rules)
 
 
 def shared_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
