@@ -150,6 +150,9 @@ def test_left_join_nullable_key_keeps_null_rows(spark):
 def test_broadcast_only_when_bounded(spark):
     small = spark.range(10)
     assert has_at_most(small, 10) and not has_at_most(small, 9)
+    wide = spark.createDataFrame([("x" * 1000,)] * 5, "s string")
+    assert has_at_most(wide, 10) and not has_at_most(wide, 10, max_bytes=4000)
+    assert broadcast_if_bounded(wide, 10, max_bytes=4000) is wide     # unhinted beyond the bound
     plan = small.join(broadcast_if_bounded(spark.range(5), 5), "id")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "BroadcastHashJoin" in plan

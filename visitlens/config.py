@@ -157,5 +157,7 @@ class SkuMartConfig:
     excluded_site_ids: tuple[int, ...] = (67,)
     # U2 in the original is a distinct union; False keeps both equal rows
     dedupe_impressions: bool = True
-    # dimension tables are broadcast only when they have at most this many rows
+    # dimension tables are broadcast only when they have at most this many
+    # rows and bytes (checked by one small job per table)
     broadcast_max_rows: int = 2_000_000
+    broadcast_max_bytes: int = 256 * 1024 * 1024

@@ -44,10 +44,11 @@ def text_impressions(ads: DataFrame, container_items: DataFrame, sku_map: DataFr
     containers = broadcast_if_bounded(container_items.select(
         F.col("container_id").cast("string").alias("container_key"),
         F.col("catalog_item_id").cast("string").alias("map_catalog_item_id")),
-        cfg.broadcast_max_rows, container_items)
+        cfg.broadcast_max_rows, container_items, cfg.broadcast_max_bytes)
     skus = broadcast_if_bounded(sku_map.select(
         F.col("catalog_item_id").cast("string").alias("catalog_item_id"),
-        F.col("akeneo_sku").alias("map_sku")), cfg.broadcast_max_rows, sku_map)
+        F.col("akeneo_sku").alias("map_sku")),
+        cfg.broadcast_max_rows, sku_map, cfg.broadcast_max_bytes)
     a = a.join(containers, "container_key", "left").withColumn(
         "catalog_item_id", F.coalesce("url_catalog_item_id", "map_catalog_item_id"))
     a = a.join(skus, "catalog_item_id", "left")
@@ -69,10 +70,12 @@ def pla_impressions(pla: DataFrame, campaigns: DataFrame, sku_map: DataFrame,
     p = pla.where(_window(cfg, "date"))
     camp = broadcast_if_bounded(campaigns.select(
         F.col("campaignid").cast("string").alias("campaign_key"),
-        F.col("catalogitemid").alias("catalogitemid")), cfg.broadcast_max_rows, campaigns)
+        F.col("catalogitemid").alias("catalogitemid")),
+        cfg.broadcast_max_rows, campaigns, cfg.broadcast_max_bytes)
     skus = broadcast_if_bounded(sku_map.select(
         F.col("catalog_item_id").cast("string").alias("catalog_key"),
-        F.col("akeneo_sku").alias("map_sku")), cfg.broadcast_max_rows, sku_map)
+        F.col("akeneo_sku").alias("map_sku")),
+        cfg.broadcast_max_rows, sku_map, cfg.broadcast_max_bytes)
     p = p.withColumn("campaign_key", F.when(F.col("site") == F.lit(LEGACY), F.col("product_item_id")))
     p = p.join(camp, "campaign_key", "left")
     p = p.withColumn("catalog_key", F.col("catalogitemid").cast("string")).join(skus, "catalog_key", "left")
@@ -81,7 +84,7 @@ def pla_impressions(pla: DataFrame, campaigns: DataFrame, sku_map: DataFrame,
                  .agg(F.sum("impressions").alias("impressions")))
     prods = broadcast_if_bounded(products.select(
         "brightpearl_id", F.col("akeneo_sku").alias("product_sku")), cfg.broadcast_max_rows,
-        products)
+        products, cfg.broadcast_max_bytes)
     joined = per_item.join(prods, "brightpearl_id", "left")
     sku = F.coalesce("map_sku", "product_sku")
     return (joined.select(sku.alias("akeneo_sku"), "impressions")

@@ -6,35 +6,62 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-_BOUND_CHECKS: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+_BOUND_CHECKS: dict[tuple[int, int, int], tuple[DataFrame, bool]] = {}
 
+# default byte bound for a broadcast side (well under the 8 GB hard limit, and
+# small enough to ship to every executor)
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (memoised per DataFrame).
 
-    Checked with ``limit(max_rows + 1).count()``, which stops reading as soon
-    as the bound is exceeded.
+def _row_bytes(df: DataFrame):
+    """Approximate in-memory size of a row: string/binary lengths + 8 per other field."""
+    parts = []
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        if t in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    total = parts[0] if parts else F.lit(0)
+    for p in parts[1:]:
+        total = total + p
+    return total + F.lit(16)
+
+
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+
+    One small job over ``limit(max_rows + 1)``: it stops reading as soon as
+    the row bound is exceeded, and sums the row sizes of what it read.
+    Memoised per DataFrame.
     """
-    key = (id(df), max_rows)
+    key = (id(df), max_rows, max_bytes)
     hit = _BOUND_CHECKS.get(key)
     if hit is not None and hit[0] is df:
         return hit[1]
-    ok = df.limit(max_rows + 1).count() <= max_rows
+    lim = df.limit(max_rows + 1)
+    n, size = lim.agg(F.count(F.lit(1)), F.sum(_row_bytes(lim))).first()
+    ok = n <= max_rows and (size or 0) <= max_bytes
+    if len(_BOUND_CHECKS) > 256:
+        _BOUND_CHECKS.clear()
     _BOUND_CHECKS[key] = (df, ok)
     return ok
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int, table: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+def broadcast_if_bounded(df: DataFrame, max_rows: int, table: DataFrame | None = None,
+                         max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows
+    and ``max_bytes`` bytes.
 
-    ``table`` is the stored dimension ``df`` is a projection of; its row count
+    ``table`` is the stored dimension ``df`` is a projection of; its size
     bounds ``df``'s and the check is memoised on it, so several projections of
     one dimension cost one check. Beyond the bound the frame is returned
     unhinted and the planner uses a shuffled join (adaptive execution may still
     switch to a broadcast from measured shuffle sizes). Meant for dimension
     tables - catalog maps whose size follows the catalog, not the traffic.
     """
-    return F.broadcast(df) if has_at_most(table if table is not None else df, max_rows) else df
+    bounded = has_at_most(table if table is not None else df, max_rows, max_bytes)
+    return F.broadcast(df) if bounded else df
 
 
 def left_join_nullable_key(left: DataFrame, right: DataFrame, left_key: str,

@@ -104,7 +104,7 @@ def page_facts_by_item(pages: DataFrame, container_items: DataFrame,
     containers = broadcast_if_bounded(container_items.select(
         F.col("container_id").cast("string").alias("container_id"),
         F.col("catalog_item_id").cast("string").alias("map_catalog_item_id")),
-        cfg.broadcast_max_rows, container_items)
+        cfg.broadcast_max_rows, container_items, cfg.broadcast_max_bytes)
     j = pages.join(containers, "container_id", "left")
     cat = F.coalesce(F.col("catalog_item_id"), F.col("map_catalog_item_id"))
     return (j.groupBy(cat.alias("catalog_item_id"), F.col("akeneo_sku").alias("raw_sku"))
