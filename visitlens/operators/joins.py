@@ -31,16 +31,16 @@ def _row_bytes(df: DataFrame):
 def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    One small job over ``limit(max_rows + 1)``: it stops reading as soon as
-    the row bound is exceeded, and sums the row sizes of what it read.
-    Memoised per DataFrame.
+    One distributed aggregate: every task counts its rows and sums their sizes,
+    and only one row per task reaches the final step. (A ``limit`` would funnel
+    up to ``max_rows`` rows from every partition into a single task - the whole
+    table, for a large one.) Memoised per DataFrame.
     """
     key = (id(df), max_rows, max_bytes)
     hit = _BOUND_CHECKS.get(key)
     if hit is not None and hit[0] is df:
         return hit[1]
-    lim = df.limit(max_rows + 1)
-    n, size = lim.agg(F.count(F.lit(1)), F.sum(_row_bytes(lim))).first()
+    n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
     ok = n <= max_rows and (size or 0) <= max_bytes
     if len(_BOUND_CHECKS) > 256:
         _BOUND_CHECKS.clear()

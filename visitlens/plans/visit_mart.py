@@ -189,7 +189,8 @@ def attach_to_visits(visits_window: DataFrame, f_data: DataFrame,
 
 
 def project_mart(df: DataFrame, cfg: VisitMartConfig) -> DataFrame:
-    """Constants, renames and the fixed column order."""
+    """P37 + P40: constants and the fixed column order (P38 renames happen on
+    the master side in :func:`attach_to_visits`)."""
     constants = {"sub_store_id": F.lit(cfg.store_id), "store_id": F.lit(cfg.store_id),
                  "site_url": F.lit("")}
     cols = []
