@@ -156,7 +156,7 @@ def q_sink_partitioned(spark, sf_dir):
     path = scratch_path(spark, "visit-mart")
     for as_of in (dt.date(2024, 1, 24), VISIT_AS_OF):
         mart = vm.build_visit_mart(TestdataTables(spark, sf_dir), visit_cfg(as_of))
-        write_partitioned(mart, path, by="first_action_date_est", cluster="visit_id")
+        write_partitioned(mart, path, by="first_action_date_est", cluster=("visit_id", "order_id"))
     back = read_partitioned(spark, path)
     return back.select(*[c for c in mart.columns])
 
@@ -294,9 +294,9 @@ def q_sink_insert_into(spark, sf_dir):
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in first.schema.fields)
     spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet "
               f"PARTITIONED BY (first_action_date_est) LOCATION '{path}'")
-    write_insert_into(first, table, by="first_action_date_est", cluster="visit_id")
+    write_insert_into(first, table, by="first_action_date_est", cluster=("visit_id", "order_id"))
     second = vm.build_visit_mart(TestdataTables(spark, sf_dir), cfg)
-    write_insert_into(second, table, by="first_action_date_est", cluster="visit_id")
+    write_insert_into(second, table, by="first_action_date_est", cluster=("visit_id", "order_id"))
     return spark.read.parquet(path).select(*second.columns)
 
 

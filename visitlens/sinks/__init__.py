@@ -27,14 +27,19 @@ def dynamic_overwrite(spark: SparkSession):
             spark.conf.set(key, prev)
 
 
-def _clustered(df: DataFrame, by: str | None, cluster: str | None) -> DataFrame:
-    """Range-partition by ``(by, cluster)``: each task writes one or two partition
-    folders with evenly sized files, and no task receives a whole date."""
-    return df.repartitionByRange(by, cluster) if by and cluster else df
+def _clustered(df: DataFrame, by: str | None, cluster) -> DataFrame:
+    """Range-partition by ``(by, *cluster)``: each task writes one or two
+    partition folders with evenly sized files, and no task receives a whole
+    date. ``cluster`` is a column name or a sequence of them; trailing columns
+    let the range boundaries split a hot leading key."""
+    if not (by and cluster):
+        return df
+    keys = [cluster] if isinstance(cluster, str) else list(cluster)
+    return df.repartitionByRange(by, *keys)
 
 
 def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet",
-                      cluster: str | None = None, merge_schema: bool = True) -> None:
+                      cluster=None, merge_schema: bool = True) -> None:
     """K1: overwrite the partitions of ``path`` that ``df`` contains.
 
     Without ``cluster`` the frame's own partitioning is kept (every task may
@@ -61,7 +66,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
 
 
 def write_insert_into(df: DataFrame, table: str, by: str | None = None,
-                      cluster: str | None = None) -> None:
+                      cluster=None) -> None:
     """K3: ``insertInto`` an existing partitioned catalog table with overwrite.
 
     Columns are matched by position, so ``df`` must follow the table's order
