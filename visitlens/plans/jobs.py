@@ -12,8 +12,9 @@ Command line::
 
     python -m visitlens.plans.jobs visit-mart --as-of 2024-01-31 --out PATH \
         --table visits=db.visits --table visit_events=db.visit_events ...
-    python -m visitlens.plans.jobs sku-mart --as-of 2024-05-17 --out PATH \
-        --table visit_mart=PATH_OF_VISIT_MART ...
+    python -m visitlens.plans.jobs sku-mart --as-of 2024-05-17 \
+        --jdbc-url jdbc:mysql://HOST/DB --jdbc-table sku_traffic \
+        --jdbc-property user=... --table visit_mart=db.visit_mart ...
 """
 
 from __future__ import annotations
@@ -65,8 +66,12 @@ def _parse(argv=None):
     p = argparse.ArgumentParser(prog="visitlens.plans.jobs")
     p.add_argument("job", choices=["visit-mart", "sku-mart"])
     p.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
-    p.add_argument("--out", required=True)
+    p.add_argument("--out", help="output path (required for visit-mart)")
     p.add_argument("--days", type=int, default=45)
+    p.add_argument("--jdbc-url", help="sku-mart: replace a relational table at this URL")
+    p.add_argument("--jdbc-table", help="sku-mart: the table to replace")
+    p.add_argument("--jdbc-property", action="append", default=[],
+                   help="key=value connection property (repeatable)")
     p.add_argument("--table", action="append", default=[],
                    help="logical=qualified catalog name (repeatable)")
     return p.parse_args(argv)
@@ -79,9 +84,13 @@ def main(argv=None) -> None:
     spark: SparkSession = get_session(app_name=f"visitlens-{args.job}")
     t = CatalogTables(spark, dict(kv.split("=", 1) for kv in args.table))
     if args.job == "visit-mart":
+        if not args.out:
+            raise SystemExit("visit-mart needs --out")
         run_visit_mart(t, VisitMartConfig(as_of=args.as_of, days=args.days), args.out)
     else:
-        run_sku_mart(t, SkuMartConfig(as_of=args.as_of), out_path=args.out)
+        props = dict(kv.split("=", 1) for kv in args.jdbc_property)
+        run_sku_mart(t, SkuMartConfig(as_of=args.as_of), out_path=args.out,
+                     jdbc_url=args.jdbc_url, jdbc_table=args.jdbc_table, jdbc_properties=props)
 
 
 if __name__ == "__main__":
