@@ -35,7 +35,7 @@ from visitlens.operators.repair import END_DATA_COLUMNS, apply_repair, attributi
 from visitlens.operators.sales import PROFIT_COLUMNS, SALES_TAIL, visit_sales
 from visitlens.operators.touch import (VISIT_ATTRIBUTES, donor_carts, first_touch,
                                        latest_carts, window_logs)
-from visitlens.session import ensure_checkpoint_dir
+from visitlens.session import ensure_checkpoint_dir, session_conf
 from visitlens.sources.tables import Tables
 
 # Output contract: the mart's 138 columns, in order.
@@ -113,8 +113,15 @@ def shared_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     touches = visit_touches(t, cfg)
     if not cfg.materialize_touches:
         return touches
-    ensure_checkpoint_dir(touches.sparkSession)
-    return touches.checkpoint(eager=True)
+    spark = touches.sparkSession
+    ensure_checkpoint_dir(spark)
+    # Hash-partitioned by visit id with a fixed count, the checkpoint records
+    # that partitioning, and its three visit-id joins shuffle only their other
+    # side. Adaptive execution would report the partitioning as unknown, so
+    # this one job (an aggregate and a unique-key join) runs without it.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with session_conf(spark, "spark.sql.adaptive.enabled", "false"):
+        return touches.repartition(parts, "visit_id").checkpoint(eager=True)
 
 
 def end_data(t: Tables, cfg: VisitMartConfig, touches: DataFrame | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -79,3 +80,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for reading results back in tests)."""
     return path[len("file:"):] if path.startswith("file:") else os.fspath(path)
+
+
+@contextmanager
+def session_conf(spark: SparkSession, key: str, value: str):
+    """Set a SQL conf for the duration of a block, then restore it."""
+    prev = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if prev is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, prev)
