@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-_BOUND_CHECKS: dict[tuple[int, int, int], tuple[DataFrame, bool]] = {}
+# (application id, semantic hash of the plan, bounds) -> (DataFrame, verdict)
+_BOUND_CHECKS: dict[tuple[str, int, int, int], tuple[DataFrame, bool]] = {}
 
 # default byte bound for a broadcast side (well under the 8 GB hard limit, and
 # small enough to ship to every executor)
@@ -34,11 +35,12 @@ def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYT
     One distributed aggregate: every task counts its rows and sums their sizes,
     and only one row per task reaches the final step. (A ``limit`` would funnel
     up to ``max_rows`` rows from every partition into a single task - the whole
-    table, for a large one.) Memoised per DataFrame.
+    table, for a large one.) Memoised per application on the plan's semantics,
+    so the same table read again by a later query is not measured again.
     """
-    key = (id(df), max_rows, max_bytes)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows, max_bytes)
     hit = _BOUND_CHECKS.get(key)
-    if hit is not None and hit[0] is df:
+    if hit is not None and hit[0].sameSemantics(df):
         return hit[1]
     n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
     ok = n <= max_rows and (size or 0) <= max_bytes
