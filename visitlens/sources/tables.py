@@ -73,20 +73,24 @@ _STORED: dict[tuple[str, str, str], str] = {}
 class TestdataTables(Tables):
     """The stand-in views of :mod:`visitlens.sources.standins` over ``sf_dir``.
 
-    The generated test files hold one row group each, so every scan of them is
-    a single task. The views named in ``store`` (by default ``web``, the root
-    of the visit-log stand-ins) are therefore written once per application and
-    test-data folder as a multi-file parquet table in the shared checkpoint
-    folder and read from there - as the stored, multi-file tables they stand
-    for would be. Pass ``store=()`` to derive every view on the fly.
+    The stand-ins play the production input tables, which are stored,
+    multi-file tables. The generated test files, however, hold one row group
+    each, so every scan of them is a single task, and a view would be derived
+    again by every query that reads it. So each view named in ``store`` (by
+    default all of them) is derived once per application and test-data folder,
+    on first use, and written as a multi-file parquet table in the shared
+    checkpoint folder; queries read it from there. Every query still does all
+    of its own work on every run. Pass ``store=()`` to derive the views on the
+    fly instead.
     """
 
     __test__ = False  # not a pytest class
 
-    def __init__(self, spark: SparkSession, sf_dir: str, store: tuple[str, ...] = ("web",)):
+    def __init__(self, spark: SparkSession, sf_dir: str,
+                 store: tuple[str, ...] | None = None):
         super().__init__(spark)
         self.sf_dir = sf_dir.rstrip("/")
-        self.store = tuple(store)
+        self.store = tuple(standins.VIEWS) if store is None else tuple(store)
 
     def _derive(self, name: str) -> DataFrame:
         if name in standins.BASE_TABLES or name not in standins.VIEWS:
