@@ -92,6 +92,12 @@ class TestdataTables(Tables):
         self.sf_dir = sf_dir.rstrip("/")
         self.store = tuple(standins.VIEWS) if store is None else tuple(store)
 
+    def prepare(self) -> "TestdataTables":
+        """Store every view named in ``store`` now (instead of on first use)."""
+        for name in standins.closure(self.store):
+            self[name]
+        return self
+
     def _derive(self, name: str) -> DataFrame:
         if name in standins.BASE_TABLES or name not in standins.VIEWS:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
