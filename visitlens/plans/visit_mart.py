@@ -222,5 +222,6 @@ def build_visit_mart(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     sales = visit_sales(t["visit_orders"], t["profit_loss"], cfg.as_of, cfg.days)
     visits_window = t["visits"].where(
         trailing_days("first_action_datetime_est", cfg.as_of, cfg.days))
-    mart = attach_to_visits(visits_window, f_data, sales)
-    return project_mart(with_channel(mart, cfg), cfg)
+    return (attach_to_visits(visits_window, f_data, sales)
+            .transform(with_channel, cfg)
+            .transform(project_mart, cfg))
