@@ -19,6 +19,11 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # broadcast only what has a proven size: never from planning-time
+    # estimates (compressed file sizes), only from measured shuffle output at
+    # run time, or from an explicit hint behind a size check (operators/joins)
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # overwrite only the date partitions a run produces (sink K1)
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # timestamps in the inputs are wall-clock Eastern time without zone; never
