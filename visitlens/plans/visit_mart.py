@@ -119,8 +119,14 @@ def shared_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     # that partitioning, and its three visit-id joins shuffle only their other
     # side. Adaptive execution would report the partitioning as unknown, so
     # this one job (an aggregate and a unique-key join) runs without it.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    with session_conf(spark, "spark.sql.adaptive.enabled", "false"):
+    # Without adaptive execution the job's shuffles use a fixed count: take the
+    # larger of the shuffle partitions and adaptive execution's initial count,
+    # so the job is sized like the adaptive ones of the same run.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                   None) or 0))
+    with session_conf(spark, "spark.sql.adaptive.enabled", "false"), \
+            session_conf(spark, "spark.sql.shuffle.partitions", str(parts)):
         return touches.repartition(parts, "visit_id").checkpoint(eager=True)
 
 
