@@ -156,3 +156,50 @@ def test_broadcast_only_when_bounded(spark):
     plan = small.join(broadcast_if_bounded(spark.range(5), 5), "id")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_full_width_mart_contract(spark):
+    """With a complete visit master the mart has the 138 columns in order,
+    master columns renamed, constants filled, attributes from the visit rows."""
+    import dataclasses
+
+    from visitlens.config import VisitMartConfig
+    from visitlens.plans import visit_mart as vm
+
+    inverse = {v: k for k, v in vm.MASTER_RENAMES.items()}
+    master_cols = [inverse.get(c, c) for c in vm.MART_COLUMNS
+                   if c not in vm.FROM_VISIT_ROWS and c not in vm.CONSTANTS]
+    master_cols += ["visit_id", "campaign_source"]          # source-side attribute, not used
+    row = {c: f"m_{c}" for c in master_cols}
+    row.update(visit_id=1, first_action_datetime_est=TS, first_action_date_est=TS.date(),
+               campaign_source="from master")
+    visits = spark.createDataFrame([tuple(row[c] for c in master_cols)],
+                                   ", ".join(f"`{c}` {_type(c)}" for c in master_cols))
+    f_data = spark.createDataFrame(
+        [(1, "ip", TS, "NextGen", "https://h/?chid=4272", "", "", "", "4272", "", "", "", "", False,
+          "google", "cpc", None, "direct", None)],
+        "visit_id long, visitor_ip string, datetime_est timestamp_ntz, site string, url string, "
+        "campaign_id string, mms_campaign_id string, utm_source string, mms_channel_id string, "
+        "adgroup_id string, keyword_id string, product_id string, creative_id string, "
+        "is_dsa_ad boolean, campaign_source string, campaign_medium string, "
+        "ad_provider_id string, referrer_type string, referrer_name string")
+    sales = spark.createDataFrame([(TS, 1, "9", "9", 1, True)],
+                                  "report_datetime timestamp_ntz, visit_id long, "
+                                  "demand_order_id string, order_id string, cancel_orders int, "
+                                  "is_order_cancelled boolean")
+    cfg = dataclasses.replace(VisitMartConfig(as_of=dt.date(2024, 3, 5)), missing_columns="null")
+    mart = vm.attach_to_visits(visits, f_data, sales).transform(vm.with_channel, cfg) \
+        .transform(vm.project_mart, cfg)
+    assert mart.columns == vm.MART_COLUMNS and len(mart.columns) == 138
+    r = mart.first()
+    assert r["campaign_source"] == "google"                       # from the visit rows
+    assert r["campaign_id_matomo"] == "m_campaign_id"             # renamed master column
+    assert r["visit_server_hour"] == "m_visit_server_hour_utc"
+    assert (r["sub_store_id"], r["store_id"], r["site_url"]) == (69, 69, "")
+    assert (r["mms_channel_id"], r["channel"], r["order_id"]) == ("4272", "Google PLA", "9")
+    assert r["net_revenue"] is None                               # absent from this profit report
+
+
+def _type(c):
+    return {"visit_id": "long", "first_action_datetime_est": "timestamp_ntz",
+            "first_action_date_est": "date"}.get(c, "string")
