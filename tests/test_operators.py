@@ -203,3 +203,43 @@ def test_full_width_mart_contract(spark):
 def _type(c):
     return {"visit_id": "long", "first_action_datetime_est": "timestamp_ntz",
             "first_action_date_est": "date"}.get(c, "string")
+
+
+def test_page_facts_equal_fanout_join_on_random_data(spark):
+    """The pair-free page facts equal the original's fan-out join + grouping."""
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(3)
+    urls = [f"https://h/product/sku-{i}" for i in range(6)]
+    actions = [(TS, "ip", 0 if rnd.random() < 0.4 else rnd.randint(1, 30), rnd.choice(urls),
+                rnd.choice([69, 71, 12])) for _ in range(600)]        # visit 0 is hot
+    facts = [(rnd.randint(0, 30), rnd.choice([f"o{j}" for j in range(40)] + [None]),
+              rnd.choice([True, False, None]), rnd.choice([None, 1.25, 10.5, 99.99]),
+              rnd.choice([None, 0.5, 3.0])) for _ in range(120)]
+    got = page_facts(_actions(spark, actions), _facts(spark, facts), CFG).toPandas()
+
+    a = pd.DataFrame(actions, columns=["ts", "ip", "visit_id", "url", "site_id"])
+    f = pd.DataFrame(facts, columns=["visit_id", "order_id", "cancelled", "revenue", "profit"])
+    j = a.merge(f, on="visit_id", how="left")
+    j["site"] = j.site_id.isin([69, 71]).map({True: "NextGen", False: "Legacy"})
+    canc, kept = j.cancelled.eq(True), j.cancelled.eq(False)
+    j["c_ord"] = j.order_id.where(canc).notna()
+    j["n_ord"] = j.order_id.where(kept).notna()
+    j["c_rev"], j["n_rev"] = j.revenue.where(canc), j.revenue.where(kept)
+    want = j.groupby(["visit_id", "url", "site"]).agg(
+        cancel_orders=("c_ord", "sum"), net_orders=("n_ord", "sum"),
+        cancel_revenue=("c_rev", lambda s: s.sum(min_count=1)),
+        net_revenue=("n_rev", lambda s: s.sum(min_count=1)),
+        profit=("profit", lambda s: s.sum(min_count=1))).reset_index()
+
+    def norm(df):
+        rows = []
+        for r in df.itertuples(index=False):
+            rows.append((int(r.visit_id), r.url, r.site, int(r.cancel_orders), int(r.net_orders),
+                         *[None if pd.isna(v) else round(float(v), 6)
+                           for v in (r.cancel_revenue, r.net_revenue, r.profit)]))
+        return sorted(rows, key=str)
+
+    assert norm(got[want.columns]) == norm(want)
