@@ -146,6 +146,11 @@ class VisitMartConfig:
     # If visits never last longer than this many days, only visits that began
     # at most that long before the window are read (pushed into the scan).
     visit_span_days: int | None = None
+    # Visits holding more than this share of all orders in the window are
+    # split over ``hot_visit_buckets`` tasks in the final visits-sales join
+    # (exact; costs one extra aggregate over the orders). None: plain join.
+    hot_visit_fraction: float | None = None
+    hot_visit_buckets: int = 32
 
 
 @dataclass(frozen=True)

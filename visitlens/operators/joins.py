@@ -81,3 +81,44 @@ def left_join_nullable_key(left: DataFrame, right: DataFrame, left_key: str,
     unkeyed = left.where(F.col(left_key).isNull()).select("*", *right_nulls)
     return keyed.unionByName(unkeyed)
 
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float) -> list:
+    """Keys holding more than ``fraction`` of ``df``'s rows.
+
+    One aggregate with map-side combining; at most ``1 / fraction`` keys can
+    qualify, so the list reaching the driver is bounded by the parameter, not
+    by the data.
+    """
+    total = df.count()
+    limit = max(int(total * fraction), 1)
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    return [r[0] for r in counts.select(key).collect()]
+
+
+def left_join_salting_hot_keys(left: DataFrame, right: DataFrame, left_key: str,
+                               right_key: str, keys: list, buckets: int = 32) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` with hot right-side keys split.
+
+    A key with a large share of the right side would otherwise meet all of its
+    right rows in one task. For the listed ``keys`` the right rows get a salt
+    ``0..buckets-1`` and the (few) left rows are replicated once per salt, so
+    the pairs of one hot key are produced by ``buckets`` tasks. Hot keys have
+    right rows by definition, so their part is an inner join (no replica is
+    null-extended); all other keys take the plain left join. Exact: the union
+    holds every pair once.
+    """
+    if not keys:
+        return left.join(right, F.col(left_key) == F.col(right_key), "left")
+    is_hot_l = F.col(left_key).isin(*keys)
+    is_hot_r = F.col(right_key).isin(*keys)
+    cold = left.where(~is_hot_l | F.col(left_key).isNull()).join(
+        right.where(~is_hot_r), F.col(left_key) == F.col(right_key), "left")
+    salt_r = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets))
+    hot_r = right.where(is_hot_r).withColumn("_salt_r", salt_r)
+    hot_l = left.where(is_hot_l).withColumn("_salt_l", F.explode(F.sequence(F.lit(0),
+                                                                           F.lit(buckets - 1))))
+    hot = hot_l.join(hot_r, (F.col(left_key) == F.col(right_key))
+                     & (F.col("_salt_l") == F.col("_salt_r")), "inner") \
+        .drop("_salt_l", "_salt_r")
+    return cold.unionByName(hot)

@@ -31,6 +31,7 @@ from visitlens.config import ChannelRules, VisitMartConfig
 from visitlens.functions.channels import channel_id, channel_label, is_google_display_ad
 from visitlens.functions.lookback import trailing_days
 from visitlens.functions.params import PARAM_COLUMNS, url_param_columns
+from visitlens.operators.joins import hot_keys, left_join_salting_hot_keys
 from visitlens.operators.repair import END_DATA_COLUMNS, apply_repair, attribution_repair
 from visitlens.operators.sales import PROFIT_COLUMNS, SALES_TAIL, visit_sales
 from visitlens.operators.touch import (VISIT_ATTRIBUTES, donor_carts, first_touch,
@@ -179,13 +180,16 @@ def join_sales(f_data: DataFrame, sales: DataFrame) -> DataFrame:
 
 
 def attach_to_visits(visits_window: DataFrame, f_data: DataFrame,
-                     sales: DataFrame) -> DataFrame:
+                     sales: DataFrame, hot_visits: list | None = None,
+                     buckets: int = 32) -> DataFrame:
     """J9 + J10 as two left joins from the visit master (see module docstring).
 
     Output: the master's pass-through columns under their mart names (its
     ``visit_id`` as ``_av_visit_id``) plus
     ``date_est``, ``visit_id`` (NULL for visits with neither f_data nor sales
-    rows, as in the original) and all f_data / sales columns.
+    rows, as in the original) and all f_data / sales columns. Visits listed in
+    ``hot_visits`` have their sales split over ``buckets`` tasks
+    (:func:`~visitlens.operators.joins.left_join_salting_hot_keys`).
     """
     wanted = set(MART_COLUMNS) - FROM_VISIT_ROWS - CONSTANTS
     master_cols = [F.col(c).alias(MASTER_RENAMES.get(c, c)) for c in visits_window.columns
@@ -195,8 +199,9 @@ def attach_to_visits(visits_window: DataFrame, f_data: DataFrame,
                       *[c for c in f_data.columns if c not in ("visit_id", "visitor_ip")])
     s = sales.select(F.col("visit_id").alias("_s_visit_id"),
                      *[c for c in sales.columns if c != "visit_id"])
-    j = (v.join(f, F.col("_av_visit_id") == F.col("_f_visit_id"), "left")
-          .join(s, F.col("_av_visit_id") == F.col("_s_visit_id"), "left"))
+    vf = v.join(f, F.col("_av_visit_id") == F.col("_f_visit_id"), "left")
+    j = left_join_salting_hot_keys(vf, s, "_av_visit_id", "_s_visit_id", hot_visits or [],
+                                   buckets)
     return j.withColumns({"date_est": F.coalesce("datetime_est", "report_datetime"),
                           "visit_id": F.coalesce("_s_visit_id", "_f_visit_id")})
 
@@ -228,6 +233,8 @@ def build_visit_mart(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     sales = visit_sales(t["visit_orders"], t["profit_loss"], cfg.as_of, cfg.days)
     visits_window = t["visits"].where(
         trailing_days("first_action_datetime_est", cfg.as_of, cfg.days))
-    return (attach_to_visits(visits_window, f_data, sales)
+    hot = (hot_keys(sales, "visit_id", cfg.hot_visit_fraction)
+           if cfg.hot_visit_fraction is not None else [])
+    return (attach_to_visits(visits_window, f_data, sales, hot, cfg.hot_visit_buckets)
             .transform(with_channel, cfg)
             .transform(project_mart, cfg))
