@@ -301,3 +301,26 @@ def q_sink_insert_into(spark, sf_dir):
 
 
 QUERIES["sink_insert_into"] = q_sink_insert_into
+
+
+def q_visit_mart_salted(spark, sf_dir):
+    """The visit mart with hot-visit salting on: visits with more than 0.2 % of
+    the window's orders are split over 8 buckets. Must equal the plain mart."""
+    import dataclasses
+
+    cfg = dataclasses.replace(visit_cfg(), hot_visit_fraction=0.002, hot_visit_buckets=8)
+    return vm.build_visit_mart(TestdataTables(spark, sf_dir), cfg)
+
+
+def q_visit_mart_span_bounded(spark, sf_dir):
+    """The visit mart reading only visits that began at most one day before the
+    window for first touch. Test visits never cross a day, so it must equal the
+    plain mart."""
+    import dataclasses
+
+    cfg = dataclasses.replace(visit_cfg(), visit_span_days=1)
+    return vm.build_visit_mart(TestdataTables(spark, sf_dir), cfg)
+
+
+QUERIES["visit_mart_salted"] = q_visit_mart_salted
+QUERIES["visit_mart_span_bounded"] = q_visit_mart_span_bounded
