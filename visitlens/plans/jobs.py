@@ -68,6 +68,12 @@ def _parse(argv=None):
     p.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
     p.add_argument("--out", help="output path (required for visit-mart)")
     p.add_argument("--days", type=int, default=45)
+    p.add_argument("--visit-span-days", type=int, default=None,
+                   help="visit-mart: bound the visit-master scan of first touch")
+    p.add_argument("--cart-lookback-days", type=int, default=None,
+                   help="visit-mart: bound the abandoned-cart scan (changes results)")
+    p.add_argument("--hot-visit-fraction", type=float, default=None,
+                   help="visit-mart: salt visits above this share of orders")
     p.add_argument("--jdbc-url", help="sku-mart: replace a relational table at this URL")
     p.add_argument("--jdbc-table", help="sku-mart: the table to replace")
     p.add_argument("--jdbc-property", action="append", default=[],
@@ -86,7 +92,11 @@ def main(argv=None) -> None:
     if args.job == "visit-mart":
         if not args.out:
             raise SystemExit("visit-mart needs --out")
-        run_visit_mart(t, VisitMartConfig(as_of=args.as_of, days=args.days), args.out)
+        cfg = VisitMartConfig(as_of=args.as_of, days=args.days,
+                              visit_span_days=args.visit_span_days,
+                              cart_lookback_days=args.cart_lookback_days,
+                              hot_visit_fraction=args.hot_visit_fraction)
+        run_visit_mart(t, cfg, args.out)
     else:
         props = dict(kv.split("=", 1) for kv in args.jdbc_property)
         run_sku_mart(t, SkuMartConfig(as_of=args.as_of), out_path=args.out,
