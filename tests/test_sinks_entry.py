@@ -79,3 +79,23 @@ def test_visit_span_bound_is_exact_when_visits_are_short(spark):
     bounded = vm.build_visit_mart(TestdataTables(spark, sf), cfg)
     full = vm.build_visit_mart(TestdataTables(spark, sf), R.visit_cfg())
     assert bounded.exceptAll(full).count() == 0 and full.exceptAll(bounded).count() == 0
+
+
+def test_job_cli_visit_mart(spark):
+    """The command line runs the visit job against catalog names."""
+    from visitlens.plans import jobs
+    from visitlens.plans import registry as R
+    from visitlens.sources import TestdataTables
+
+    sf = "/root/testdata/sf0.001"
+    t = TestdataTables(spark, sf)
+    names = ["visit_events", "visit_actions", "visits", "carts", "goals", "order_items",
+             "visit_orders", "profit_loss"]
+    for n in names:
+        t[n].createOrReplaceTempView(f"cli_{n}")
+    out = scratch_path(spark, "cli-visit-mart")
+    jobs.main(["visit-mart", "--as-of", "2024-01-31", "--days", "14", "--out", out,
+               "--missing-columns", "drop", "--visit-span-days", "1",
+               *[a for n in names for a in ("--table", f"{n}=cli_{n}")]])
+    back = read_partitioned(spark, out)
+    assert back.count() == R.q_visit_mart(spark, sf).count()

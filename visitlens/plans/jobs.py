@@ -74,6 +74,8 @@ def _parse(argv=None):
                    help="visit-mart: bound the abandoned-cart scan (changes results)")
     p.add_argument("--hot-visit-fraction", type=float, default=None,
                    help="visit-mart: salt visits above this share of orders")
+    p.add_argument("--missing-columns", choices=["error", "drop", "null"], default="error",
+                   help="visit-mart: mart columns absent from the visit master")
     p.add_argument("--jdbc-url", help="sku-mart: replace a relational table at this URL")
     p.add_argument("--jdbc-table", help="sku-mart: the table to replace")
     p.add_argument("--jdbc-property", action="append", default=[],
@@ -95,7 +97,8 @@ def main(argv=None) -> None:
         cfg = VisitMartConfig(as_of=args.as_of, days=args.days,
                               visit_span_days=args.visit_span_days,
                               cart_lookback_days=args.cart_lookback_days,
-                              hot_visit_fraction=args.hot_visit_fraction)
+                              hot_visit_fraction=args.hot_visit_fraction,
+                              missing_columns=args.missing_columns)
         run_visit_mart(t, cfg, args.out)
     else:
         props = dict(kv.split("=", 1) for kv in args.jdbc_property)
