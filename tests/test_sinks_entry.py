@@ -99,3 +99,15 @@ def test_job_cli_visit_mart(spark):
                *[a for n in names for a in ("--table", f"{n}=cli_{n}")]])
     back = read_partitioned(spark, out)
     assert back.count() == R.q_visit_mart(spark, sf).count()
+
+
+def test_parquet_tables_registry(spark):
+    from visitlens.sources import ParquetTables, TestdataTables
+
+    t = TestdataTables(spark, "/root/testdata/sf0.001", store=())
+    path = scratch_path(spark, "pq-goals")
+    t["goals"].write.parquet(path)
+    p = ParquetTables(spark, {"goals": path})
+    assert p["goals"] is p["goals"]                       # memoised per name
+    assert p["goals"].count() == t["goals"].count()
+    assert p.with_table("goals", t["goals"])["goals"] is t["goals"]
