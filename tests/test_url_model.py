@@ -10,7 +10,6 @@ random URLs built from the characters that matter must agree.
 import random
 import re
 
-
 from visitlens import config as C
 from visitlens.functions import urls as U
 
