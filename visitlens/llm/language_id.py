@@ -16,7 +16,8 @@ log loss on a fold of its own, which neither counts grams nor is held out. That
 fold also gives each language's mean and spread of cross-entropy (the spread as a
 part between texts and a part that shrinks with length); a text is rejected if
 its cross-entropy lies ``REJECT_Z`` such spreads above the mean of its best
-language, so that only text unlike every language goes.
+language and nearer to that of random letters than to that mean, so that only
+text unlike every language goes, not noisy or mixed text.
 
 Folds by crc32(doc_id as text) mod 3: 0 counts, 2 calibrates, 1 is held out.
 
@@ -353,7 +354,10 @@ def predict(docs: DataFrame, trained: LanguageId | None) -> DataFrame:
         return F.get(F.array(*[F.lit(float(v)) for v in values]), best)
 
     spread = F.sqrt(of(c.between) + of(c.within) / F.col("chars"))
-    strange = F.array_min("h") > of(c.mean) + REJECT_Z * F.greatest(spread, F.lit(1e-6))
+    random = -trained.model.floor
+    strange = F.array_min("h") > F.greatest(
+        of(c.mean) + REJECT_Z * F.greatest(spread, F.lit(1e-6)),
+        (of(c.mean) + of(list(random))) / 2)
     names = F.array(*[F.lit(x) for x in trained.model.languages])
     letters = F.col("letters")
     return scored.select(

@@ -316,7 +316,7 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk_chars: int = CHUNK_CHAR
                    F.col("text"), i * chunk_chars + 1, F.lit(chunk_chars)))).alias("nth", "chunk"))
            .repartition("row", "nth")
            .mapInArrow(_mapped(vocabulary, False),
-                       "row long, nth int, " + kinds + "head string, count long, tail string"))
+                       "row long, " + kinds + "nth int, head string, count long, tail string"))
     large = cut.groupBy("row", "doc_id", "n_bytes").agg(F.array_sort(F.collect_list(
         F.struct("nth", "head", "count", "tail"))).alias("maps"))
     large = large.select("doc_id", "n_bytes", "maps").mapInArrow(
