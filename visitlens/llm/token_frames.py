@@ -35,15 +35,30 @@ from visitlens.llm.common import Scratch, documents
 
 FRAME_IDS = 1 << 16
 END_ID = 2
-SLICE_CHARS = 1 << 20
+SLICE_BYTES = 1 << 20
 #: Units that a worker remembers, about 200 bytes each.
-MOST_UNITS = 1_000_000
+MOST_UNITS = 1_500_000
 #: Fixed values of the Zstandard seekable format.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 _DOC = np.dtype([("id", "<i8"), ("null", "<u4"), ("frame", "<u4"), ("at", "<u8"), ("n", "<u8")])
 _ENTRY = np.dtype([("packed", "<u4"), ("plain", "<u4"), ("sum", "<u4")])
-_ODD_SPACE = re.compile(r"[^\S \n]")
-_UNIT = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+_UNIT = re.compile(rb"[ \n]*[^ \n]+|[ \n]+")
+#: White space other than space and newline, in UTF-8; _HINTS holds a part of each.
+_ODD_SPACE = re.compile(rb"[\t\x0b-\r\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80"
+                        rb"|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_HINTS = (b"\t", b"\r", b"\x0b", b"\x0c", b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"\xc2",
+          b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80\x80")
+
+
+class _Units(dict):
+    """Ids by unit; what is not there is noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.wanted: list[bytes] = []
+
+    def __missing__(self, unit: bytes) -> None:
+        self.wanted.append(unit)
 
 
 class Encoder:
@@ -67,26 +82,26 @@ class Encoder:
         self.sizes = np.zeros(max(vocab.values(), default=0) + 1, dtype=np.int64)
         for token, i in vocab.items():
             self.sizes[i] = len(token)  # a byte-level token has a letter per byte
-        self.units: dict[str, bytes] = {}
+        self.units = _Units()
         self.most = most
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        got = self.library.encode_batch_fast(texts, add_special_tokens=False)
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
+        got = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in got]
 
-    def _encode_units(self, units: list[str]) -> list[bytes]:
+    def _encode_units(self, units: list[bytes]) -> list[bytes]:
         """Ids of units, many in one call: led by white space and ending without,
         they stay apart in the joined text, and token sizes tell where each ends."""
         out, joined = [b""] * len(units), []
         for i, u in enumerate(units):
-            if u[0] in " \n" and u[-1] not in " \n":
+            if u[0] in b" \n" and u[-1] not in b" \n":
                 joined.append(i)
             else:
                 out[i] = self._encode([u])[0]
         runs = [joined[k:k + 2000] for k in range(0, len(joined), 2000)]
-        for run, data in zip(runs, self._encode(["".join(units[i] for i in r) for r in runs])):
+        for run, data in zip(runs, self._encode([b"".join(units[i] for i in r) for r in runs])):
             have = np.cumsum(self.sizes[np.frombuffer(data, dtype="<u4")])
-            ends = np.cumsum([len(units[i].encode()) for i in run])
+            ends = np.cumsum([len(units[i]) for i in run])
             cuts = np.searchsorted(have, ends)
             if (have[cuts] != ends).any():
                 raise ValueError("the vocabulary does not split text before white space")
@@ -96,32 +111,33 @@ class Encoder:
                 at = cut
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids (little-endian unsigned 32-bit) of texts in UTF-8."""
         if len(self.units) > self.most:
             self.units.clear()
-        out, units = [b""] * len(texts), self.units
-        late, whole, wanted = [], [], {}
+        out, units, late, whole = [b""] * len(texts), self.units, [], []
+        units.wanted = []
         for i, text in enumerate(texts):
-            if "<|" in text or _ODD_SPACE.search(text):
+            if b"<|" in text or (any(h in text for h in _HINTS) and _ODD_SPACE.search(text)):
                 whole.append(i)
                 continue
             # a unit without its leading space, except at the start of the text
-            parts = text.replace("\n", " \n").split(" ")
-            if "" in parts or "\n" in parts:
-                parts = ["\0" + u for u in _UNIT.findall(text)]
+            parts = text.replace(b"\n", b" \n").split(b" ")
+            if b"" in parts or b"\n" in parts:
+                parts = [b"\0" + u for u in _UNIT.findall(text)]
             else:
-                parts[0] = "\0" + parts[0]
-            found = [*map(units.get, parts)]
+                parts[0] = b"\0" + parts[0]
+            found = [*map(units.__getitem__, parts)]
             if None in found:
-                late.append((i, parts))
-                wanted.update((k, None) for k, ids in zip(parts, found) if ids is None)
+                late.append((i, parts, found))
             else:
                 out[i] = b"".join(found)
-        if wanted:
-            plain = [k[1:] if k[:1] == "\0" else k if k[:1] == "\n" else " " + k for k in wanted]
-            units.update(zip(wanted, self._encode_units(plain)))
-        for i, parts in late:
-            out[i] = b"".join(map(units.__getitem__, parts))
+        if units.wanted:
+            wanted = [*dict.fromkeys(units.wanted)]
+            units.update(zip(wanted, self._encode_units([
+                k[1:] if k[:1] == b"\0" else k if k[:1] == b"\n" else b" " + k for k in wanted])))
+        for i, parts, found in late:
+            out[i] = b"".join([units[k] if v is None else v for k, v in zip(parts, found)])
         if whole:
             for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
                 out[i] = ids
@@ -144,7 +160,7 @@ class FrameWriter:
         import zstandard
 
         self.sink, self.frame_bytes = sink, 4 * frame_ids
-        self.packer = zstandard.ZstdCompressor(level=3)
+        self.packer = zstandard.ZstdCompressor(level=1)
         self.entries, self.docs, self.held, self.size = [], [], [], 0
         self.ids = 0
 
@@ -243,14 +259,14 @@ def open_file(uri: str, name: str) -> FrameReader:
 
 
 def _slices(batches):
-    """(ids, texts) of at most about SLICE_CHARS characters, and of one row at least."""
+    """(ids, texts) of at most about SLICE_BYTES bytes, and of one row at least."""
     for batch in batches:
         ids, texts, size = [], [], 0
         for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
             ids.append(i)
             texts.append(t)
             size += len(t)
-            if size >= SLICE_CHARS:
+            if size >= SLICE_BYTES:
                 yield ids, texts
                 ids, texts, size = [], [], 0
         if ids:
@@ -293,24 +309,23 @@ def write_token_frames(docs: DataFrame, uri: str, vocabulary: str, end_id: int =
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_hash"))
     keys = [F.col("doc_id").asc_nulls_first(), F.col("_hash")]
     return (rows.repartitionByRange(*keys).sortWithinPartitions(*keys, "text")
-            .select("doc_id", "text")
+            .select("doc_id", F.col("text").cast("binary").alias("text"))
             .mapInArrow(_write(uri, vocabulary, end_id, frame_ids),
                         "part int, file string, n_docs long, n_ids long"))
 
 
 def _read(uri: str):
     def run(batches):
-        names = ["part", "doc_id", "start", "n_tokens", "ids_crc32"]
-        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["doc_id", "start", "n_tokens", "ids_crc32"]
 
         def rows(cols):
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
 
         for batch in batches:
-            for part, name in zip(batch.column("part").to_pylist(), batch.column("file").to_pylist()):
-                start, cols = 0, [[] for _ in names]
+            for start, name in zip(batch.column("start").to_pylist(), batch.column("file").to_pylist()):
+                cols = [[] for _ in names]
                 for doc_id, ids in open_file(uri, name):
-                    for c, v in zip(cols, (part, doc_id, start, len(ids) // 4, zlib.crc32(ids))):
+                    for c, v in zip(cols, (doc_id, start, len(ids) // 4, zlib.crc32(ids))):
                         c.append(v)
                     start += len(ids) // 4
                     if len(cols[0]) >= 10_000:
@@ -324,11 +339,9 @@ def read_token_frames(files: DataFrame, uri: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document of the files."""
     # one row per file
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = files.select("part", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("_before"))
-    read = files.select("part", "file").repartition("part").mapInArrow(
-        _read(uri), "part int, doc_id long, start long, n_tokens long, ids_crc32 long")
-    return read.join(offsets, "part").select(
-        "doc_id", (F.col("start") + F.col("_before")).alias("start"), "n_tokens", "ids_crc32")
+    start = F.coalesce(F.sum("n_ids").over(before), F.lit(0))
+    return files.select("part", "file", start.alias("start")).repartition("part").select(
+        "start", "file").mapInArrow(_read(uri), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_frames(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFrame:
