@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from conftest import rows
-from visitlens.config import SkuMartConfig
+from visitlens.config import SiteRules, SkuMartConfig
 from visitlens.operators import touch
 from visitlens.operators.impressions import impressions_by_sku
 from visitlens.operators.joins import broadcast_if_bounded, has_at_most, left_join_nullable_key
@@ -187,7 +187,8 @@ def test_full_width_mart_contract(spark):
                                   "report_datetime timestamp_ntz, visit_id long, "
                                   "demand_order_id string, order_id string, cancel_orders int, "
                                   "is_order_cancelled boolean")
-    cfg = dataclasses.replace(VisitMartConfig(as_of=dt.date(2024, 3, 5)), missing_columns="null")
+    cfg = VisitMartConfig(as_of=dt.date(2024, 3, 5), site_rules=SiteRules(),
+                          missing_columns="null")
     mart = vm.attach_to_visits(visits, f_data, sales).transform(vm.with_channel, cfg) \
         .transform(vm.project_mart, cfg)
     assert mart.columns == vm.MART_COLUMNS and len(mart.columns) == 138
@@ -245,36 +246,40 @@ def test_page_facts_equal_fanout_join_on_random_data(spark):
     assert norm(got[want.columns]) == norm(want)
 
 
-def test_salting_hot_keys_is_exact(spark):
-    from visitlens.operators.joins import hot_keys, left_join_salting_hot_keys
+def test_splitting_large_keys_is_exact(spark):
+    """Right rows mostly without a key, one large key, one left row without match."""
+    from visitlens.operators.joins import left_join_splitting_keys
 
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n")], "k long, l string")
-    right = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 7), (None, 9)],
-                                  "rk long, r int")
-    keys = hot_keys(right, "rk", 0.5)
-    assert keys == [1]
-    salted = left_join_salting_hot_keys(left, right, "k", "rk", keys, buckets=8)
+    left = spark.createDataFrame([(1, "a"), (1, "a2"), (2, "b"), (3, "c"), (None, "n")],
+                                 "k long, l string")
+    right = spark.createDataFrame([(1, i) for i in range(50)] + [(2, 7)]
+                                  + [(None, i) for i in range(60)], "rk long, r int")
     plain = left.join(right, left.k == right.rk, "left")
-    assert salted.count() == plain.count() == 53
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    assert plain.count() == 103
+    for rows_per_task in (1, 7, 30, 1000):
+        split = left_join_splitting_keys(left, right, "k", "rk", right.select("rk"), rows_per_task)
+        assert split.columns == plain.columns and split.count() == 103
+        assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
 
 
-def test_visit_mart_with_hot_visit_salting_equals_plain(spark):
-    import dataclasses
-
+def test_visit_mart_with_split_visits_equals_plain(spark):
     from visitlens.plans import registry as R
-    from visitlens.plans import visit_mart as vm
-    from visitlens.sources import TestdataTables
-
-    from visitlens.operators.joins import hot_keys
-    from visitlens.operators.sales import visit_sales
 
     sf = "/root/testdata/sf0.001"
-    cfg = dataclasses.replace(R.visit_cfg(), hot_visit_fraction=0.02, hot_visit_buckets=4)
-    t = TestdataTables(spark, sf)
-    sales = visit_sales(t["visit_orders"], t["profit_loss"], cfg.as_of, cfg.days)
-    assert hot_keys(sales, "visit_id", cfg.hot_visit_fraction)      # the salted path runs
-    salted = vm.build_visit_mart(TestdataTables(spark, sf), cfg)
-    plain = vm.build_visit_mart(TestdataTables(spark, sf), R.visit_cfg())
-    assert salted.count() == plain.count()
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    split, plain = R.q_visit_mart_salted(spark, sf), R.q_visit_mart(spark, sf)
+    assert split.count() == plain.count()
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+
+
+def test_broadcast_bound_is_measured_on_every_call(spark):
+    from visitlens.operators.joins import has_at_most
+    from visitlens.session import scratch_path
+
+    path = scratch_path(spark, "grown")
+    spark.range(5).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert has_at_most(df, 10)
+    spark.range(1000).write.mode("overwrite").parquet(path)
+    assert not has_at_most(spark.read.parquet(path), 10)
+    assert not has_at_most(spark.range(1).selectExpr("array(id) as a"), 10)   # size unknown
+

@@ -8,11 +8,11 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
+from oracle.sql import ORACLE_SQL as ORACLE
+from visitlens.plans.registry import QUERIES
 from parity import compare, duck
 
 SF_DIR = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
-ORACLE = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,9 +20,9 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     assert key in ORACLE, f"{key} has no oracle SQL"
-    res = compare(E.queries()[key](spark, SF_DIR), con, ORACLE[key])
+    res = compare(QUERIES[key](spark, SF_DIR), con, ORACLE[key])
     assert res["match"], res
     assert res["spark_rows"] > 0

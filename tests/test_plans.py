@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as E
+from visitlens.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
-PLAN_KEYS = [k for k in sorted(E.queries()) if not k.startswith("sink_")]
+PLAN_KEYS = [k for k in sorted(QUERIES) if not k.startswith(("sink_", "daily_"))]
 
 
 def physical(df) -> str:
@@ -15,7 +15,7 @@ def physical(df) -> str:
 @pytest.fixture(scope="module")
 def plans(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")   # untruncated PushedFilters
-    return {k: physical(E.queries()[k](spark, SF)) for k in PLAN_KEYS}
+    return {k: physical(QUERIES[k](spark, SF)) for k in PLAN_KEYS}
 
 
 def test_no_python_udfs_or_pair_joins(plans):
@@ -25,9 +25,9 @@ def test_no_python_udfs_or_pair_joins(plans):
             assert bad not in plan, (key, bad)
 
 
-def test_first_touch_is_an_aggregate_and_checkpointed(plans):
+def test_first_touch_is_an_aggregate_and_stored(plans):
     assert "Window" not in plans["first_touch"] and "Window" not in plans["visit_mart"]
-    assert "ExistingRDD" in plans["visit_mart"]      # first touch read from its checkpoint
+    assert "/first-touch-" in plans["visit_mart"]    # first touch read from its table
     assert "Window" not in plans["latest_cart"]
 
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from visitlens.session import scratch_path
@@ -32,11 +34,8 @@ def test_entry_and_registry_contract(spark):
     assert df.where(F.col("first_action_date_est").isNull()).count() == 0
 
 
-def test_daily_chain_and_cart_lookback(spark):
-    import dataclasses
-
+def test_daily_chain(spark):
     from visitlens.plans import registry as R
-    from visitlens.plans import visit_mart as vm
     from visitlens.plans.jobs import run_daily
     from visitlens.sources import TestdataTables
 
@@ -44,41 +43,25 @@ def test_daily_chain_and_cart_lookback(spark):
     t = TestdataTables(spark, sf)
     vp, sp = scratch_path(spark, "daily-vm"), scratch_path(spark, "daily-sm")
     run_daily(t, R.visit_cfg(), R.sku_cfg(), vp, sp)
-    sku = spark.read.parquet(sp)
-    assert sku.count() > 0 and sku.columns[0] == "akeneo_sku"
+    sku, want = spark.read.parquet(sp), R.q_daily_chain(spark, sf)
+    assert sku.count() > 0
+    assert sku.exceptAll(want).count() == 0 and want.exceptAll(sku).count() == 0
     assert read_partitioned(spark, vp).count() == R.q_visit_mart(spark, sf).count()
 
-    # a cart lookback bound can only remove donors: the repaired visits of the
-    # bounded run are a subset of the unbounded run's
-    def repaired(cfg):
-        tt = TestdataTables(spark, sf)
-        touches = vm.shared_touches(tt, cfg)
-        fixed = vm.end_data(tt, cfg, touches)
-        moved = fixed.join(touches.select("visit_id", F.col("url").alias("own")), "visit_id") \
-            .where(F.col("url") != F.col("own"))
-        return {r.visit_id for r in moved.select("visit_id").distinct().collect()}
 
-    everything = repaired(R.visit_cfg())
-    bounded = repaired(dataclasses.replace(R.visit_cfg(), cart_lookback_days=3))
-    assert everything and bounded <= everything and len(bounded) < len(everything)
+def test_partitioned_write_runs_its_plan_once(spark):
+    """Rows that the plan makes are counted: one pass, no pass to sample ranges."""
+    seen = spark.sparkContext.accumulator(0)
 
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
 
-def test_visit_span_bound_is_exact_when_visits_are_short(spark):
-    """Test visits never span a day boundary, so a one-day bound changes nothing."""
-    import dataclasses
-
-    from visitlens.plans import registry as R
-    from visitlens.plans import visit_mart as vm
-    from visitlens.sources import TestdataTables
-
-    sf = "/root/testdata/sf0.001"
-    cfg = dataclasses.replace(R.visit_cfg(), visit_span_days=1)
-    touches = vm.visit_touches(TestdataTables(spark, sf), cfg)
-    plan = touches._jdf.queryExecution().executedPlan().toString()
-    assert "2024-01-16" in plan      # window start minus one day bounds the visit master
-    bounded = vm.build_visit_mart(TestdataTables(spark, sf), cfg)
-    full = vm.build_visit_mart(TestdataTables(spark, sf), R.visit_cfg())
-    assert bounded.exceptAll(full).count() == 0 and full.exceptAll(bounded).count() == 0
+    df = spark.range(1000).selectExpr("id", "date_add(date'2024-01-01', int(id % 3)) as day")
+    write_partitioned(df.mapInArrow(counted, df.schema), scratch_path(spark, "once"), by="day",
+                      cluster="id")
+    assert seen.value == 1000
 
 
 def test_job_cli_visit_mart(spark):
@@ -95,10 +78,13 @@ def test_job_cli_visit_mart(spark):
         t[n].createOrReplaceTempView(f"cli_{n}")
     out = scratch_path(spark, "cli-visit-mart")
     jobs.main(["visit-mart", "--as-of", "2024-01-31", "--days", "14", "--out", out,
-               "--missing-columns", "drop", "--visit-span-days", "1",
+               "--site-host", "www.shop.example", "--site-cutover", "2023-06-30",
                *[a for n in names for a in ("--table", f"{n}=cli_{n}")]])
     back = read_partitioned(spark, out)
     assert back.count() == R.q_visit_mart(spark, sf).count()
+    assert {r.site for r in back.select("site").distinct().collect()} >= {"NextGen", "Legacy"}
+    with pytest.raises(SystemExit, match="--site-host"):
+        jobs.main(["visit-mart", "--as-of", "2024-01-31", "--out", out])
 
 
 def test_parquet_tables_registry(spark):

@@ -59,9 +59,10 @@ SKU_STRIP_TEXT = "jpg"
 
 # Money is accumulated in this exact type in the SKU job. Double sums depend
 # on summation order (i.e. on partitioning), so rounding them to cents is not
-# reproducible; six decimals hold every test value exactly and leave 32 integer
-# digits. Results are returned as double, like the original.
-MONEY = "decimal(38,6)"
+# reproducible. Twelve decimals keep every digit that a double of up to ten
+# thousand has and leave 26 integer digits, so rows are not rounded before the
+# sum in any currency unit. Results are returned as double, like the original.
+MONEY = "decimal(38,12)"
 
 # order status codes
 PAID_STATUSES = ("PAID", "PARTIALLY_PAID")
@@ -125,32 +126,20 @@ class ChannelRules:
 @dataclass(frozen=True)
 class VisitMartConfig:
     as_of: dt.date
+    site_rules: SiteRules   # no default: other hosts would label every visit wrong
     days: int = 45
-    site_rules: SiteRules = field(default_factory=SiteRules)
     channel_rules: ChannelRules = field(default_factory=ChannelRules)
     store_id: int = 69
     # reproduce the original's dead shopping-ad fallback of product_id
     product_id_null_on_miss: bool = False
     # what to do with pass-through columns absent from the visits table:
-    # "error", "drop" or "null"
+    # "error" or "null" (typed as MART_TYPES says)
     missing_columns: str = "error"
     # compute first touch once and checkpoint it (it has three consumers)
     materialize_touches: bool = True
-    # The original reads the whole abandoned-cart history every run (no date
-    # bound). None reproduces that; a number of days bounds the cart scan
-    # (pushed into the scan) and changes results only for carts older than it.
-    cart_lookback_days: int | None = None
-    # First touch takes campaign attributes from the visit master for every
-    # visit with log rows in the window (J1), and a visit that began before the
-    # window may still log inside it, so by default the whole master is read.
-    # If visits never last longer than this many days, only visits that began
-    # at most that long before the window are read (pushed into the scan).
-    visit_span_days: int | None = None
-    # Visits holding more than this share of all orders in the window are
-    # split over ``hot_visit_buckets`` tasks in the final visits-sales join
-    # (exact; costs one extra aggregate over the orders). None: plain join.
-    hot_visit_fraction: float | None = None
-    hot_visit_buckets: int = 32
+    # a visit with more orders in the window than this has them split over
+    # several tasks in the final visits-sales join (exact at any value)
+    sales_rows_per_task: int = 100_000
 
 
 @dataclass(frozen=True)

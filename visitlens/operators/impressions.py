@@ -2,7 +2,7 @@
 
 Dimension tables (container map, SKU map, campaigns, products) follow the
 catalog, not the traffic; they are broadcast behind a row-count check
-(:func:`~visitlens.operators.joins.broadcast_if_bounded`) and fall back to
+(:func:`~visitlens.operators.joins.left_join_dimension`) and fall back to
 shuffled joins beyond it. The fact side is aggregated once, by the final key:
 the original's first grouping (site, URL, container, category, catalog item,
 SKU) followed by a re-grouping by SKU sums the same rows into the same SKU
@@ -21,7 +21,7 @@ from visitlens.functions.lookback import trailing_months
 from visitlens.functions.urls import (ad_sku, catalog_item_id, container_join_key,
                                       is_product_page, ng_product_id, pla_product_id,
                                       url_path)
-from visitlens.operators.joins import broadcast_if_bounded
+from visitlens.operators.joins import left_join_dimension
 
 IMPRESSION_COLUMNS = ["akeneo_sku", "impressions"]
 
@@ -41,17 +41,16 @@ def text_impressions(ads: DataFrame, container_items: DataFrame, sku_map: DataFr
                  container_join_key(path).alias("container_key"),
                  catalog_item_id("ad_final_url").alias("url_catalog_item_id"),
                  "impressions")
-    containers = broadcast_if_bounded(container_items.select(
+    bounds = (cfg.broadcast_max_rows, cfg.broadcast_max_bytes)
+    containers = container_items.select(
         F.col("container_id").cast("string").alias("container_key"),
-        F.col("catalog_item_id").cast("string").alias("map_catalog_item_id")),
-        cfg.broadcast_max_rows, container_items, cfg.broadcast_max_bytes)
-    skus = broadcast_if_bounded(sku_map.select(
+        F.col("catalog_item_id").cast("string").alias("map_catalog_item_id"))
+    skus = sku_map.select(
         F.col("catalog_item_id").cast("string").alias("catalog_item_id"),
-        F.col("akeneo_sku").alias("map_sku")),
-        cfg.broadcast_max_rows, sku_map, cfg.broadcast_max_bytes)
-    a = a.join(containers, "container_key", "left").withColumn(
+        F.col("akeneo_sku").alias("map_sku"))
+    a = left_join_dimension(a, containers, "container_key", *bounds).withColumn(
         "catalog_item_id", F.coalesce("url_catalog_item_id", "map_catalog_item_id"))
-    a = a.join(skus, "catalog_item_id", "left")
+    a = left_join_dimension(a, skus, "catalog_item_id", *bounds)
     sku = F.coalesce(ad_sku("site", "path"), F.col("map_sku"))
     return (a.select(sku.alias("akeneo_sku"), "impressions")
              .where(F.col("akeneo_sku").isNotNull())
@@ -68,24 +67,22 @@ def pla_impressions(pla: DataFrame, campaigns: DataFrame, sku_map: DataFrame,
     the product fan-out multiplies them exactly as row by row).
     """
     p = pla.where(_window(cfg, "date"))
-    camp = broadcast_if_bounded(campaigns.select(
+    bounds = (cfg.broadcast_max_rows, cfg.broadcast_max_bytes)
+    camp = campaigns.select(
         F.col("campaignid").cast("string").alias("campaign_key"),
-        F.col("catalogitemid").alias("catalogitemid")),
-        cfg.broadcast_max_rows, campaigns, cfg.broadcast_max_bytes)
-    skus = broadcast_if_bounded(sku_map.select(
+        F.col("catalogitemid").alias("catalogitemid"))
+    skus = sku_map.select(
         F.col("catalog_item_id").cast("string").alias("catalog_key"),
-        F.col("akeneo_sku").alias("map_sku")),
-        cfg.broadcast_max_rows, sku_map, cfg.broadcast_max_bytes)
+        F.col("akeneo_sku").alias("map_sku"))
     p = p.withColumn("campaign_key", F.when(F.col("site") == F.lit(LEGACY), F.col("product_item_id")))
-    p = p.join(camp, "campaign_key", "left")
-    p = p.withColumn("catalog_key", F.col("catalogitemid").cast("string")).join(skus, "catalog_key", "left")
+    p = left_join_dimension(p, camp, "campaign_key", *bounds)
+    p = p.withColumn("catalog_key", F.col("catalogitemid").cast("string"))
+    p = left_join_dimension(p, skus, "catalog_key", *bounds)
     p = p.where(F.col("catalogitemid").isNotNull() | ng_product_id("product_item_id").isNotNull())
     per_item = (p.groupBy(pla_product_id("product_item_id", "site").alias("brightpearl_id"), "map_sku")
                  .agg(F.sum("impressions").alias("impressions")))
-    prods = broadcast_if_bounded(products.select(
-        "brightpearl_id", F.col("akeneo_sku").alias("product_sku")), cfg.broadcast_max_rows,
-        products, cfg.broadcast_max_bytes)
-    joined = per_item.join(prods, "brightpearl_id", "left")
+    prods = products.select("brightpearl_id", F.col("akeneo_sku").alias("product_sku"))
+    joined = left_join_dimension(per_item, prods, "brightpearl_id", *bounds)
     sku = F.coalesce("map_sku", "product_sku")
     return (joined.select(sku.alias("akeneo_sku"), "impressions")
                   .where(F.col("akeneo_sku").isNotNull())

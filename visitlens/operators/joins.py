@@ -6,64 +6,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# (application id, semantic hash of the plan, bounds) -> (DataFrame, verdict)
-_BOUND_CHECKS: dict[tuple[str, int, int, int], tuple[DataFrame, bool]] = {}
-
 # default byte bound for a broadcast side (well under the 8 GB hard limit, and
 # small enough to ship to every executor)
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def _row_bytes(df: DataFrame):
-    """Approximate in-memory size of a row: string/binary lengths + 8 per other field."""
-    parts = []
+    """Approximate in-memory size of a row: string/binary lengths + 8 per other
+    field; None if a field is nested, as its size is not known this way."""
+    total = F.lit(16)
     for f in df.schema.fields:
         t = f.dataType.typeName()
+        if t in ("array", "map", "struct", "variant"):
+            return None
         if t in ("string", "binary"):
-            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
         else:
-            parts.append(F.lit(8))
-    total = parts[0] if parts else F.lit(0)
-    for p in parts[1:]:
-        total = total + p
-    return total + F.lit(16)
+            total = total + F.lit(8)
+    return total
 
 
 def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes now.
 
     One distributed aggregate: every task counts its rows and sums their sizes,
     and only one row per task reaches the final step. (A ``limit`` would funnel
     up to ``max_rows`` rows from every partition into a single task - the whole
-    table, for a large one.) Memoised per application on the plan's semantics,
-    so the same table read again by a later query is not measured again.
+    table, for a large one.) Measured on every call: a table may have grown since
+    the last one.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows, max_bytes)
-    hit = _BOUND_CHECKS.get(key)
-    if hit is not None and hit[0].sameSemantics(df):
-        return hit[1]
-    n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
-    ok = n <= max_rows and (size or 0) <= max_bytes
-    if len(_BOUND_CHECKS) > 256:
-        _BOUND_CHECKS.clear()
-    _BOUND_CHECKS[key] = (df, ok)
-    return ok
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int, table: DataFrame | None = None,
+    size = _row_bytes(df)
+    if size is None:
+        return False
+    n, total = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return n <= max_rows and (total or 0) <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int,
                          max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows
-    and ``max_bytes`` bytes.
-
-    ``table`` is the stored dimension ``df`` is a projection of; its size
-    bounds ``df``'s and the check is memoised on it, so several projections of
-    one dimension cost one check. Beyond the bound the frame is returned
-    unhinted and the planner uses a shuffled join (adaptive execution may still
-    switch to a broadcast from measured shuffle sizes). Meant for dimension
-    tables - catalog maps whose size follows the catalog, not the traffic.
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows and ``max_bytes``
+    bytes, measured on the columns that are shipped.
+
+    Beyond the bound the frame is returned unhinted and the planner uses a
+    shuffled join. Meant for dimension tables - catalog maps whose size follows
+    the catalog, not the traffic.
     """
-    bounded = has_at_most(table if table is not None else df, max_rows, max_bytes)
-    return F.broadcast(df) if bounded else df
+    return F.broadcast(df) if has_at_most(df, max_rows, max_bytes) else df
+
+
+def left_join_dimension(left: DataFrame, dim: DataFrame, key: str, max_rows: int,
+                        max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``left LEFT JOIN dim USING (key)``: broadcast if bounded, else shuffled with
+    the rows that lack the key going past the shuffle."""
+    own = f"_{key}"
+    dim = dim.withColumnRenamed(key, own)
+    if has_at_most(dim, max_rows, max_bytes):
+        return left.join(F.broadcast(dim), F.col(key) == F.col(own), "left").drop(own)
+    return left_join_nullable_key(left, dim, key, own).drop(own)
 
 
 def left_join_nullable_key(left: DataFrame, right: DataFrame, left_key: str,
@@ -83,42 +82,34 @@ def left_join_nullable_key(left: DataFrame, right: DataFrame, left_key: str,
 
 
 
-def hot_keys(df: DataFrame, key: str, fraction: float) -> list:
-    """Keys holding more than ``fraction`` of ``df``'s rows.
+def left_join_splitting_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                             keys: DataFrame | None, rows_per_task: int) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` with large keys split.
 
-    One aggregate with map-side combining; at most ``1 / fraction`` keys can
-    qualify, so the list reaching the driver is bounded by the parameter, not
-    by the data.
-    """
-    total = df.count()
-    limit = max(int(total * fraction), 1)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    return [r[0] for r in counts.select(key).collect()]
-
-
-def left_join_salting_hot_keys(left: DataFrame, right: DataFrame, left_key: str,
-                               right_key: str, keys: list, buckets: int = 32) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right_key`` with hot right-side keys split.
-
-    A key with a large share of the right side would otherwise meet all of its
-    right rows in one task. For the listed ``keys`` the right rows get a salt
-    ``0..buckets-1`` and the (few) left rows are replicated once per salt, so
-    the pairs of one hot key are produced by ``buckets`` tasks. Hot keys have
-    right rows by definition, so their part is an inner join (no replica is
-    null-extended); all other keys take the plain left join. Exact: the union
-    holds every pair once.
+    A key with very many right rows would meet them all in one task. ``keys`` is
+    the one key column that the right rows come from: a key that occurs in it n
+    times gets ``ceil(n / rows_per_task)`` buckets. One aggregate counts it (with
+    partial sums, so no key is gathered), and only keys of several buckets are kept,
+    as a table that both sides look up - NULL keys are never among them. Right rows
+    go to a bucket by hash and left rows to all buckets of their key, so every pair
+    is made once; a split key has right rows, so the copies of its left rows that
+    met none in their bucket are dropped.
     """
-    if not keys:
+    if keys is None:
         return left.join(right, F.col(left_key) == F.col(right_key), "left")
-    is_hot_l = F.col(left_key).isin(*keys)
-    is_hot_r = F.col(right_key).isin(*keys)
-    cold = left.where(~is_hot_l | F.col(left_key).isNull()).join(
-        right.where(~is_hot_r), F.col(left_key) == F.col(right_key), "left")
-    salt_r = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(buckets))
-    hot_r = right.where(is_hot_r).withColumn("_salt_r", salt_r)
-    hot_l = left.where(is_hot_l).withColumn("_salt_l", F.explode(F.sequence(F.lit(0),
-                                                                           F.lit(buckets - 1))))
-    hot = hot_l.join(hot_r, (F.col(left_key) == F.col(right_key))
-                     & (F.col("_salt_l") == F.col("_salt_r")), "inner") \
-        .drop("_salt_l", "_salt_r")
-    return cold.unionByName(hot)
+    key = keys.columns[0]
+    large = (keys.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
+             .agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("_buckets"))
+             .where("_buckets > 1"))
+    last = F.coalesce("_buckets", F.lit(1)) - 1
+    left = (left.join(large, F.col(left_key) == F.col("_key"), "left")
+            .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+            .withColumnRenamed("_buckets", "_split").drop("_key"))
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), last + 1)
+    right = (right.where(F.col(right_key).isNotNull())
+             .join(large, F.col(right_key) == F.col("_key"), "left")
+             .withColumn("_bucket", bucket.cast("int")).drop("_key", "_buckets"))
+    out = left.join(right, (F.col(left_key) == F.col(right_key))
+                    & (F.col("_salt") == F.col("_bucket")), "left")
+    return out.where(F.col("_split").isNull() | F.col(right_key).isNotNull()).drop(
+        "_salt", "_bucket", "_split")

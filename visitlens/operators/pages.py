@@ -23,7 +23,7 @@ from visitlens.functions.lookback import trailing_months
 from visitlens.functions.urls import (catalog_item_id, category_id, clean_url, container_id,
                                       is_product_page, last_segment, not_search,
                                       site_from_id, sku_from_path, strip_sku_text)
-from visitlens.operators.joins import broadcast_if_bounded
+from visitlens.operators.joins import left_join_dimension
 
 FACT_COLUMNS = ["visit_id", "order_id", "is_order_cancelled", "revenue", "profit"]
 PAGE_MEASURES = ["cancel_orders", "net_orders", "cancel_revenue", "net_revenue", "profit"]
@@ -101,11 +101,11 @@ def page_facts_by_item(pages: DataFrame, container_items: DataFrame,
     which the smallest is one legal choice. No list is collected, so a SKU
     with billions of views still aggregates in constant memory per task.
     """
-    containers = broadcast_if_bounded(container_items.select(
+    containers = container_items.select(
         F.col("container_id").cast("string").alias("container_id"),
-        F.col("catalog_item_id").cast("string").alias("map_catalog_item_id")),
-        cfg.broadcast_max_rows, container_items, cfg.broadcast_max_bytes)
-    j = pages.join(containers, "container_id", "left")
+        F.col("catalog_item_id").cast("string").alias("map_catalog_item_id"))
+    j = left_join_dimension(pages, containers, "container_id", cfg.broadcast_max_rows,
+                            cfg.broadcast_max_bytes)
     cat = F.coalesce(F.col("catalog_item_id"), F.col("map_catalog_item_id"))
     return (j.groupBy(cat.alias("catalog_item_id"), F.col("akeneo_sku").alias("raw_sku"))
              .agg(F.min("eurl").alias("eurl"),

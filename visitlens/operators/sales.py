@@ -23,7 +23,7 @@ SALES_TAIL = ["cancel_orders", "is_order_cancelled"]
 
 
 def visit_sales(visit_orders: DataFrame, profit_loss: DataFrame, as_of: dt.date,
-                days: int) -> DataFrame:
+                days: int, allow_missing: bool = False) -> DataFrame:
     """Orders in the window, each with its profit-report row (left join).
 
     The join key is the third dash part of the composite order id; ids without
@@ -33,6 +33,9 @@ def visit_sales(visit_orders: DataFrame, profit_loss: DataFrame, as_of: dt.date,
     orders = (visit_orders.where(trailing_days("datetime_est", as_of, days))
               .select(F.col("datetime_est").alias("report_datetime"), "visit_id",
                       order_part("order_id", 3).alias("demand_order_id")))
+    lacking = [c for c in PROFIT_COLUMNS if c not in profit_loss.columns]
+    if lacking and not allow_missing:
+        raise ValueError(f"profit report lacks columns: {lacking}")
     present = [c for c in PROFIT_COLUMNS if c in profit_loss.columns]
     pl = profit_loss.where(trailing_days("order_created_date", as_of, days))
     pl = pl.select(*[F.col(c).alias(f"p_{c}") for c in present],

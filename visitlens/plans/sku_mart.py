@@ -56,10 +56,10 @@ def sku_totals(items: DataFrame, sku_map: DataFrame, products: DataFrame,
     skus = broadcast_if_bounded(sku_map.select(
         F.col("catalog_item_id").cast("string").alias("catalog_item_id"),
         F.col("akeneo_sku").alias("map_sku")),
-        cfg.broadcast_max_rows, sku_map, cfg.broadcast_max_bytes)
+        cfg.broadcast_max_rows, cfg.broadcast_max_bytes)
     prods = broadcast_if_bounded(products.select(
         F.lower("akeneo_sku").alias("sku_key"), F.col("akeneo_sku").alias("product_sku")),
-        cfg.broadcast_max_rows, products, cfg.broadcast_max_bytes)
+        cfg.broadcast_max_rows, cfg.broadcast_max_bytes)
     imp = imps.select(F.lower("akeneo_sku").alias("imp_key"), F.col("impressions").alias("imp"))
     j = items.join(skus, "catalog_item_id", "left")
     j = j.join(prods, F.lower(j["akeneo_sku"]) == prods["sku_key"], "left")

@@ -30,75 +30,22 @@ from pyspark.sql import Column
 from visitlens.config import ChannelRules, VisitMartConfig
 from visitlens.functions.channels import channel_id, channel_label, is_google_display_ad
 from visitlens.functions.lookback import trailing_days
-from visitlens.functions.params import PARAM_COLUMNS, url_param_columns
-from visitlens.operators.joins import hot_keys, left_join_salting_hot_keys
+from visitlens.functions.params import url_param_columns
+from visitlens.contract import (CONSTANTS, FROM_VISIT_ROWS, MART_COLUMNS, MART_TYPES,
+                               MASTER_RENAMES)
+from visitlens.operators.joins import left_join_splitting_keys
 from visitlens.operators.repair import END_DATA_COLUMNS, apply_repair, attribution_repair
-from visitlens.operators.sales import PROFIT_COLUMNS, SALES_TAIL, visit_sales
+from visitlens.operators.sales import visit_sales
 from visitlens.operators.touch import (VISIT_ATTRIBUTES, donor_carts, first_touch,
                                        latest_carts, window_logs)
-from visitlens.session import ensure_checkpoint_dir, session_conf
+from visitlens.session import scratch_path
 from visitlens.sources.tables import Tables
 
-# Output contract: the mart's 138 columns, in order.
-MART_COLUMNS = [
-    "date_est", "visit_id", "url", "site", "campaign_id", "mms_campaign_id",
-    "mms_channel_id", "channel", "adgroup_id", "keyword_id", "product_id", "creative_id",
-    "is_dsa_ad", "is_google_display_ad", "demand_order_id",
-    *PROFIT_COLUMNS, *SALES_TAIL,
-    "site_id", "site_name", "sub_store_id", "store_id", "visitor_ip", "visitor_id",
-    "first_action_datetime_utc", "first_action_datetime_est", "last_action_datetime_utc",
-    "last_action_datetime_est", "fingerprint", "goal_conversions", "site_currency",
-    "site_currency_symbol", "visit_server_hour", "user_id", "visitor_type",
-    "visitor_type_icon", "visit_converted", "visit_converted_icon", "visit_count",
-    "visit_ecommerce_status", "visit_ecommerce_status_icon", "days_since_first_visit",
-    "seconds_since_first_visit", "days_since_last_ecommerce_order",
-    "seconds_since_last_ecommerce_order", "visit_duration", "searches", "actions",
-    "interactions", "referrer_type", "referrer_type_name", "referrer_name",
-    "referrer_keyword", "referrer_keyword_position", "referrer_url",
-    "referrer_search_engine_url", "referrer_search_engine_icon",
-    "referrer_social_network_url", "referrer_social_network_icon", "language_code",
-    "language", "device_type", "device_type_icon", "device_brand", "device_model",
-    "operating_system", "operating_system_name", "operating_system_icon",
-    "operating_system_code", "operating_system_version", "browser_family",
-    "browser_family_description", "browser", "browser_name", "browser_icon",
-    "browser_code", "browser_version", "total_ecommerce_revenue",
-    "total_ecommerce_conversions", "total_ecommerce_items",
-    "total_abandoned_carts_revenue", "total_abandoned_carts",
-    "total_abandoned_carts_items", "events", "continent", "continent_code", "country",
-    "country_code", "country_flag", "region", "region_code", "city", "location",
-    "latitude", "longitude", "visit_local_time", "visit_local_hour",
-    "days_since_last_visit", "seconds_since_last_visit", "resolution", "plugins",
-    "ad_click_id", "ad_provider_id", "ad_provider_name", "ad_provider_icon",
-    "form_conversions", "session_replay_url", "campaign_id_matomo", "campaign_content",
-    "campaign_keyword", "campaign_medium", "campaign_name_matomo", "campaign_source",
-    "campaign_group", "campaign_placement", "site_url", "first_action_timestamp",
-    "last_action_timestamp", "first_action_date_est",
-]
-
-# visit-master columns renamed on the way into the mart (source -> mart name)
-MASTER_RENAMES = {
-    "visit_server_hour_utc": "visit_server_hour",
-    "campaign_id": "campaign_id_matomo",
-    "campaign_name": "campaign_name_matomo",
-    "first_action_timestamp_utc": "first_action_timestamp",
-    "last_action_timestamp_utc": "last_action_timestamp",
-}
-# mart columns that come from the (repaired) visit rows, not from the master
-FROM_VISIT_ROWS = {"date_est", "visit_id", "url", "site", *PARAM_COLUMNS, "channel",
-                   "is_google_display_ad", "demand_order_id", *PROFIT_COLUMNS,
-                   *SALES_TAIL, *VISIT_ATTRIBUTES}
-CONSTANTS = {"sub_store_id", "store_id", "site_url"}
-
-
 # --- steps ----------------------------------------------------------------
 
 def visit_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     logs = window_logs(t["visit_events"], t["visit_actions"], cfg.as_of, cfg.days)
-    visits = t["visits"]
-    if cfg.visit_span_days is not None:
-        visits = visits.where(trailing_days("first_action_datetime_est", cfg.as_of,
-                                            cfg.days + cfg.visit_span_days))
-    return first_touch(logs, visits, cfg.site_rules)
+    return first_touch(logs, t["visits"], cfg.site_rules)
 
 
 def shared_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
@@ -107,37 +54,23 @@ def shared_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     First touch feeds the donor carts (J2), the repair (J3) and the final rows
     (J7). Left to the optimizer, each consumer prunes it differently and the
     whole log is scanned and shuffled again per consumer. First touch has one
-    row per visit - far smaller than the logs - so it is checkpointed into the
-    shared checkpoint folder: computed once, lineage cut, and safe against
-    executor loss. ``cfg.materialize_touches=False`` keeps it lazy.
+    row per visit - far smaller than the logs - so it is written as Parquet to
+    the shared folder: computed once under adaptive execution, lineage cut, safe
+    against executor loss, and each consumer reads only its columns.
+    ``cfg.materialize_touches=False`` keeps it lazy.
     """
     touches = visit_touches(t, cfg)
     if not cfg.materialize_touches:
         return touches
-    spark = touches.sparkSession
-    ensure_checkpoint_dir(spark)
-    # Hash-partitioned by visit id with a fixed count, the checkpoint records
-    # that partitioning, and its three visit-id joins shuffle only their other
-    # side. Adaptive execution would report the partitioning as unknown, so
-    # this one job (an aggregate and a unique-key join) runs without it.
-    # Without adaptive execution the job's shuffles use a fixed count: take the
-    # larger of the shuffle partitions and adaptive execution's initial count,
-    # so the job is sized like the adaptive ones of the same run.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                                   None) or 0))
-    with session_conf(spark, "spark.sql.adaptive.enabled", "false"), \
-            session_conf(spark, "spark.sql.shuffle.partitions", str(parts)):
-        return touches.repartition(parts, "visit_id").checkpoint(eager=True)
+    path = scratch_path(touches.sparkSession, "first-touch")
+    touches.write.parquet(path)
+    return touches.sparkSession.read.schema(touches.schema).parquet(path)
 
 
 def end_data(t: Tables, cfg: VisitMartConfig, touches: DataFrame | None = None) -> DataFrame:
-    """First touch with repaired attribution (the original's ``end_data``)."""
+    """First touch with repaired attribution."""
     touches = touches if touches is not None else shared_touches(t, cfg)
-    carts = t["carts"]
-    if cfg.cart_lookback_days is not None:
-        carts = carts.where(trailing_days("datetime_est", cfg.as_of, cfg.cart_lookback_days))
-    donors = donor_carts(latest_carts(carts), touches, with_attributes=True)
+    donors = donor_carts(latest_carts(t["carts"]), touches, with_attributes=True)
     repairs = attribution_repair(touches, t["goals"], t["order_items"], donors)
     return apply_repair(touches, repairs)
 
@@ -179,17 +112,18 @@ def join_sales(f_data: DataFrame, sales: DataFrame) -> DataFrame:
         F.coalesce("_s_visit_id", "_f_visit_id").alias("visit_id"), *rest)
 
 
-def attach_to_visits(visits_window: DataFrame, f_data: DataFrame,
-                     sales: DataFrame, hot_visits: list | None = None,
-                     buckets: int = 32) -> DataFrame:
+def attach_to_visits(visits_window: DataFrame, f_data: DataFrame, sales: DataFrame,
+                     orders: DataFrame | None = None,
+                     rows_per_task: int = 100_000) -> DataFrame:
     """J9 + J10 as two left joins from the visit master (see module docstring).
 
     Output: the master's pass-through columns under their mart names (its
     ``visit_id`` as ``_av_visit_id``) plus
     ``date_est``, ``visit_id`` (NULL for visits with neither f_data nor sales
-    rows, as in the original) and all f_data / sales columns. Visits listed in
-    ``hot_visits`` have their sales split over ``buckets`` tasks
-    (:func:`~visitlens.operators.joins.left_join_salting_hot_keys`).
+    rows, as in the original) and all f_data / sales columns. With ``orders``,
+    the ``visit_id`` column that ``sales`` has its rows from, visits with more
+    than ``rows_per_task`` of them have their sales split over several tasks
+    (:func:`~visitlens.operators.joins.left_join_splitting_keys`).
     """
     wanted = set(MART_COLUMNS) - FROM_VISIT_ROWS - CONSTANTS
     master_cols = [F.col(c).alias(MASTER_RENAMES.get(c, c)) for c in visits_window.columns
@@ -200,8 +134,7 @@ def attach_to_visits(visits_window: DataFrame, f_data: DataFrame,
     s = sales.select(F.col("visit_id").alias("_s_visit_id"),
                      *[c for c in sales.columns if c != "visit_id"])
     vf = v.join(f, F.col("_av_visit_id") == F.col("_f_visit_id"), "left")
-    j = left_join_salting_hot_keys(vf, s, "_av_visit_id", "_s_visit_id", hot_visits or [],
-                                   buckets)
+    j = left_join_splitting_keys(vf, s, "_av_visit_id", "_s_visit_id", orders, rows_per_task)
     return j.withColumns({"date_est": F.coalesce("datetime_est", "report_datetime"),
                           "visit_id": F.coalesce("_s_visit_id", "_f_visit_id")})
 
@@ -219,10 +152,10 @@ def project_mart(df: DataFrame, cfg: VisitMartConfig) -> DataFrame:
         elif c in df.columns:
             cols.append(F.col(c))
         elif cfg.missing_columns == "null":
-            cols.append(F.lit(None).cast("string").alias(c))
+            cols.append(F.lit(None).cast(MART_TYPES.get(c, "string")).alias(c))
         else:
             missing.append(c)
-    if missing and cfg.missing_columns == "error":
+    if missing:
         raise ValueError(f"visit master lacks mart columns: {missing}")
     return df.select(*cols)
 
@@ -230,11 +163,12 @@ def project_mart(df: DataFrame, cfg: VisitMartConfig) -> DataFrame:
 def build_visit_mart(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     """The full visit mart for the trailing ``cfg.days`` days up to ``cfg.as_of``."""
     f_data = with_url_params(end_data(t, cfg), cfg.product_id_null_on_miss)
-    sales = visit_sales(t["visit_orders"], t["profit_loss"], cfg.as_of, cfg.days)
+    sales = visit_sales(t["visit_orders"], t["profit_loss"], cfg.as_of, cfg.days,
+                        allow_missing=cfg.missing_columns == "null")
     visits_window = t["visits"].where(
         trailing_days("first_action_datetime_est", cfg.as_of, cfg.days))
-    hot = (hot_keys(sales, "visit_id", cfg.hot_visit_fraction)
-           if cfg.hot_visit_fraction is not None else [])
-    return (attach_to_visits(visits_window, f_data, sales, hot, cfg.hot_visit_buckets)
+    orders = (t["visit_orders"].where(trailing_days("datetime_est", cfg.as_of, cfg.days))
+              .select("visit_id"))
+    return (attach_to_visits(visits_window, f_data, sales, orders, cfg.sales_rows_per_task)
             .transform(with_channel, cfg)
             .transform(project_mart, cfg))

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job of this package relies on. They are applied with
@@ -46,8 +47,11 @@ def get_session(master: str | None = None, app_name: str = "visitlens",
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    # what the cluster's spark-defaults or submit options set stays as it is
+    set_by_cluster = dict(SparkConf().getAll())
     for k, v in conf.items():
-        builder = builder.config(k, v)
+        if k in (extra or {}) or k not in set_by_cluster:
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in JOB_CONF.items():
         if spark.conf.get(k, None) is None:
@@ -60,8 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the cluster
-    (a shared file system). Only when it is unset - local runs and tests - a
-    private folder under the local temp directory is created and registered.
+    (a shared file system). Only when it is unset and the master is local - one
+    machine, as in tests - a private folder under the local temp directory is created and registered.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -71,6 +75,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="visitlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

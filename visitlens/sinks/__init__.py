@@ -12,6 +12,7 @@ from __future__ import annotations
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @contextmanager
@@ -23,19 +24,20 @@ def dynamic_overwrite(spark: SparkSession):
     try:
         yield
     finally:
-        if prev is not None:
+        if prev is None:
+            spark.conf.unset(key)
+        else:
             spark.conf.set(key, prev)
 
 
 def _clustered(df: DataFrame, by: str | None, cluster) -> DataFrame:
-    """Range-partition by ``(by, *cluster)``: each task writes one or two
-    partition folders with evenly sized files, and no task receives a whole
-    date. ``cluster`` is a column name or a sequence of them; trailing columns
-    let the range boundaries split a hot leading key."""
-    if not (by and cluster):
-        return df
-    keys = [cluster] if isinstance(cluster, str) else list(cluster)
-    return df.repartitionByRange(by, *keys)
+    """Bring rows of one partition value together in tasks of even size.
+
+    The ``rebalance`` hint shuffles once by the partition column and lets adaptive
+    execution split a large value and merge small ones from measured sizes; a range
+    repartitioning would run the whole plan a second time to sample it.
+    """
+    return df.hint("rebalance", F.col(by)) if by and cluster else df
 
 
 def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet",
@@ -50,9 +52,13 @@ def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet",
             .option("mergeSchema", str(merge_schema).lower()).save(path))
 
 
-def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a K1 table back (partition column restored from the folder names)."""
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet",
+                     merge_schema: bool = False) -> DataFrame:
+    """Read a K1 table back (partition column restored from the folder names).
+
+    ``merge_schema`` reads every footer first; only a table whose columns changed
+    between runs needs it."""
+    return spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()).load(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
@@ -61,7 +67,8 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
 
     ``num_partitions`` caps the number of concurrent connections.
     """
-    out = df.coalesce(num_partitions) if num_partitions else df
+    # a shuffle, so that the stages before keep their own number of tasks
+    out = df.repartition(num_partitions) if num_partitions else df
     out.write.jdbc(url=url, table=table, mode="overwrite", properties=properties or {})
 
 

@@ -11,6 +11,11 @@ base table or to an earlier view.
 
 from __future__ import annotations
 
+import re
+
+from visitlens.contract import MART_TYPES, MASTER_RENAMES, master_columns
+from visitlens.operators.sales import PROFIT_COLUMNS
+
 # view name -> SQL text, in dependency order
 VIEWS: dict[str, str] = {
     "web": """
@@ -47,7 +52,7 @@ select visit_id, min(visitor_ip) as visitor_ip, min(site_id) as site_id, count(*
   case visit_id % 3 when 0 then 'cpc' when 1 then 'text' end as campaign_medium,
   case visit_id % 5 when 0 then 'google' when 1 then 'bing' when 2 then 'facebook' end as ad_provider_id,
   case visit_id % 4 when 0 then 'campaign' when 1 then 'direct' when 2 then 'search' end as referrer_type,
-  case visit_id % 7 when 0 then 'pinterest' when 1 then 'facebook' end as referrer_name
+  case visit_id % 7 when 0 then 'pinterest' when 1 then 'facebook' end as referrer_name{more_master}
 from {web} group by visit_id
 """,
     "carts": """
@@ -60,7 +65,7 @@ select visit_id from {web} where event_type = 'purchase'
 select visit_id, item_sku from {web} where event_type = 'purchase'
 """,
     "visit_orders": """
-select datetime_est, visit_id,
+select datetime_est, case when event_id % 13 <> 5 then visit_id end as visit_id,
   case when event_id % 7 = 0 then 'web-' || visit_id else 'web-' || visit_id || '-' || event_id end as order_id
 from {web} where event_type = 'purchase'
 """,
@@ -73,7 +78,7 @@ select cast(o_orderkey as string) as order_id, date '2024-01-31' - cast(o_orderk
   case when o_orderkey % 4 = 0 then cast(null as double) else cast(1.5 as double) end as return_revenue,
   case when o_orderpriority = '5-LOW' then o_totalprice else cast(0 as double) end as cancelled_revenue,
   o_totalprice * cast(0.125 as double) as demand_profit,
-  case o_orderkey % 9 when 0 then '' when 1 then 'c' end as cancelled_order_id
+  case o_orderkey % 9 when 0 then '' when 1 then 'c' end as cancelled_order_id{more_profit}
 from {orders}
 """,
     "ads_hourly": """
@@ -86,16 +91,16 @@ select case when k % 3 = 2 then 'Legacy' else 'NextGen' end as site, datetime_es
   cast(k as bigint) as impressions from {web} where event_type = 'click'
 """,
     "container_items": """
-select p_partkey % 100 as container_id, 500 + p_partkey as catalog_item_id from {part} where p_partkey < 150
+select p_partkey - p_partkey % 2 as container_id, 500 + p_partkey as catalog_item_id from {part} where p_partkey % 7 <> 3
 """,
     "sku_map": """
-select 500 + p_partkey as catalog_item_id, 'SKU-' || p_partkey as akeneo_sku from {part} where p_partkey < 120
+select 500 + p_partkey as catalog_item_id, 'SKU-' || p_partkey as akeneo_sku from {part} where p_partkey % 6 <> 5
 """,
     "campaigns": """
-select p_partkey as campaignid, 500 + p_partkey as catalogitemid from {part} where p_partkey < 60
+select p_partkey as campaignid, 500 + p_partkey as catalogitemid from {part} where p_partkey % 3 <> 1
 """,
     "products": """
-select cast(p_partkey as string) as brightpearl_id, 'SKU-' || p_partkey as akeneo_sku from {part} where p_partkey < 100
+select cast(p_partkey as string) as brightpearl_id, 'SKU-' || p_partkey as akeneo_sku from {part} where p_partkey % 5 <> 4
 """,
     "order_facts_base": """
 select v.datetime_est as date_est, v.visit_id, p.order_id, p.net_revenue, p.return_revenue, p.cancelled_revenue, p.demand_profit,
@@ -111,12 +116,33 @@ select date_est, visit_id, order_id, is_order_cancelled, net_revenue + return_re
 """,
 }
 
+
+
+def _more(columns: list[str], view: str, key: str) -> str:
+    """The contract's further columns of a view, with values that follow its key."""
+    def value(i: int, c: str) -> str:
+        kind = MART_TYPES.get(MASTER_RENAMES.get(c, c), "string")
+        if kind == "double":
+            return f"cast({key} % {i + 7} as double)"
+        if kind == "timestamp_ntz":
+            return "max(datetime_est)"
+        return f"cast({key} % {i + 7} as int)" if kind in ("int", "bigint") else (
+            f"'{c}-' || cast({key} % {i + 7} as string)")
+
+    own = [c for c in columns if not re.search(rf"\b(as )?{c}\b", view)]
+    return "".join(f",\n  {value(i, c)} as {c}" for i, c in enumerate(own))
+
+
+VIEWS["visits"] = VIEWS["visits"].replace(
+    "{more_master}", _more(master_columns(), VIEWS["visits"], "visit_id"))
+VIEWS["profit_loss"] = VIEWS["profit_loss"].replace(
+    "{more_profit}", _more(PROFIT_COLUMNS, VIEWS["profit_loss"], "o_orderkey"))
+
 BASE_TABLES = ("events", "orders", "part")
 
 
 def dependencies(name: str) -> list[str]:
     """Names referenced by a view (``{x}`` placeholders)."""
-    import re
     return re.findall(r"\{(\w+)\}", VIEWS[name])
 
 
