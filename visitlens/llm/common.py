@@ -57,10 +57,12 @@ class Scratch:
     def save_sorted(self, df: DataFrame, keys: list, name: str) -> DataFrame:
         """``df`` in the global order of ``keys``, saved with its place in it.
 
-        Adds ``part`` (number of the range) and ``pos`` (place in the range, from
-        0). One range exchange; the ranges split equal leading keys as long as
-        the later keys differ, so no value of one key can fill a task.
+        Adds ``part`` (number of the range) and ``pos`` (place in the range, from 0).
+        One range exchange; the ranges split equal leading keys as long as the later
+        keys differ, so no value of one key can fill a task. ``df`` is saved first,
+        as finding the ranges would compute it once more.
         """
+        df = self.save(df, f"{name}-unsorted")
         place = F.monotonically_increasing_id()
         out = (df.orderBy(*keys).withColumn("_place", place)
                .withColumn("part", F.shiftright("_place", 33).cast("int"))
