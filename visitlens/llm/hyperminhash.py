@@ -49,7 +49,7 @@ SIGMAS = 5.0
 BLOCK_ROWS = 2048
 BLOCK_SHINGLES = 1_000_000
 SLICE_SHINGLES = 1 << 17
-MOST_WORDS = 1_000_000
+MOST_WORDS = 200_000
 _ONE = np.uint64(1)
 
 
