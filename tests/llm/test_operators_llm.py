@@ -188,7 +188,8 @@ def test_contamination_in_one_block_and_many(spark, docs, texts):
         hit = decontamination.hit_words
         n = {r.doc_id: r.n for r in decontamination.find_contamination(
             docs, bench, block_words=words).select("doc_id", hit(F.col("ranges")).alias("n")).collect()}
-        assert sorted(out[7]["items"]) == [1, 5] and n[7] == 20
+        assert sorted(out[7]["items"]) == [1, 5]
+        assert n[7] == len(decontamination.words(" ".join(base[:20])))   # "it's" is two words
         assert out[3]["items"] == out[4]["items"] == [2] and n[3] == 1
         assert out[0]["items"] == [] and out[0].n_words == 0 and n[0] == 0
 
