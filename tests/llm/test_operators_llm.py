@@ -168,6 +168,35 @@ def test_near_duplicates(docs, texts):
         assert all(out[i].n_shingles == len(sets[i]) for i in out)
 
 
+def test_near_duplicates_in_a_divided_group(spark):
+    """Copies changed step by step: neighbours are linked, the ends are not."""
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for step in range(60):
+        words[(step * 7) % 400] = f"new{step}"
+        words[(step * 7 + 90) % 400] = f"other{step}"
+        texts.append(" ".join(words))
+    rng = random.Random(3)
+    ids = rng.sample(range(1000), 60)
+    rows = [(ids[i], t) for i, t in enumerate(texts)] + [(2000 + i, "apart " + " ".join(
+        f"x{rng.random()}" for _ in range(50))) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = {}
+    for i, t in rows:
+        w = t.encode().lower().split()
+        sets[i] = {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    label = {i: i for i in sets}
+    linked = {(i, j) for i, a in sets.items() for j, b in sets.items()
+              if 100 * len(a & b) >= 85 * len(a | b)}
+    assert (ids[0], ids[59]) not in linked
+    for _ in sets:
+        for i, j in linked:
+            label[i] = label[j] = min(label[i], label[j])
+    for blocks in ({}, {"block_rows": 7, "block_shingles": 2000}):
+        out = by_id(hyperminhash.near_duplicates(docs, **blocks))
+        assert {i: out[i].component_id for i in out} == label
+
+
 def test_mix_meets_budgets(docs):
     out = source_mixing.mix(source_mixing.sized(docs)).collect()
     taken, target = collections.Counter(), {}

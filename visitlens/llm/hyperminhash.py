@@ -18,9 +18,13 @@
    100 * intersection >= threshold * union are kept. Their components are the
    groups.
 
-Members of a band key, and of a cluster, are dealt to blocks, and every pair of
-blocks is a task's work of its own (``BLOCK_ROWS``, ``BLOCK_SHINGLES``): nothing
-is skipped in large groups, and none is gathered whole.
+Members of a band key, and of a cluster, are dealt to blocks (``BLOCK_ROWS``,
+``BLOCK_SHINGLES``), each with a copy of the group's hub, its smallest document, and
+the search of a block starts there. What reaches the hub is linked through it, however
+many blocks there are, so a group of copies of any size costs its rows once. Only the
+members that do not reach it meet all blocks of their group, in tiles of two blocks:
+nothing is skipped in large groups, none is gathered whole, and the work beyond one
+row per member grows with the members unlike the hub.
 
 Defined results: NULL text and text without words have an empty set and are
 linked with nothing; fewer words than a shingle are one shingle; rows that repeat
@@ -164,34 +168,45 @@ def _groups(batches, keys: list[str]):
         yield pa.Table.from_batches(held)
 
 
-def _links_schema(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({
-        "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
-
-
 def _emitted(forests):
+    """Links as (key, a, b); members of a divided group that its hub's search did not
+    reach as (key, a, NULL)."""
+    def batch(held):
+        k, a, b = zip(*held) if held else ((), (), ())
+        return pa.RecordBatch.from_pydict({
+            "key": pa.array(k, pa.int64()), "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
     held: list = []
     for found in forests:
         held += found
         if len(held) > 20_000:
-            yield _links_schema(held)
+            yield batch(held)
             held = []
-    yield _links_schema(held)
-
-
-def _search(ids: np.ndarray, linked) -> list[tuple[int, int]]:
-    """A spanning forest: ``linked(i, others)`` says which others i is linked with."""
-    out, rest = [], np.arange(len(ids))
-    while len(rest) > 1:
-        queue, rest = [int(rest[0])], rest[1:]
+    yield batch(held)
+
+
+def _search(group: pa.Table, linked) -> list[tuple]:
+    """A spanning forest, first of what the hub reaches: ``linked(i, others)`` says
+    which others i is linked with."""
+    ids = group.column("doc_id").to_numpy()
+    key, hub, blocks = (group.column(c)[0].as_py() for c in ("key", "hub", "blocks"))
+    out: list[tuple] = []
+    queue, rest = np.nonzero(ids == hub)[0].tolist(), np.nonzero(ids != hub)[0]
+    reached = False
+    while True:
         while queue and len(rest):
             i = queue.pop()
             hit = linked(i, rest)
             for j in rest[hit].tolist():
-                out.append((int(ids[i]), int(ids[j])))
+                out.append((key, int(ids[i]), int(ids[j])))
                 queue.append(j)
             rest = rest[~hit]
-    return out
+        if not reached and blocks > 1:
+            out += [(key, int(i), None) for i in ids[rest]]
+        reached = True
+        if len(rest) < 2:
+            return out
+        queue, rest = [int(rest[0])], rest[1:]
 
 
 def _similar(percent: int):
@@ -200,22 +215,21 @@ def _similar(percent: int):
     least = share - SIGMAS * np.sqrt(share * (1 - share) / width)
 
     def forest(group: pa.Table):
-        ids, n = group.column("doc_id").to_numpy(), group.column("n").to_numpy().astype(float)
+        n = group.column("n").to_numpy().astype(float)
         regs = np.frombuffer(b"".join(group.column("registers").to_pylist()),
-                             dtype="<u2").reshape(len(ids), width)
+                             dtype="<u2").reshape(len(n), width)
 
         def linked(i, others):
             fits = np.minimum(n[others], n[i]) >= share * np.maximum(n[others], n[i]) - 1e-9
             equal = (regs[others] == regs[i]).mean(1)
             return fits & (similarity(equal, n[others], n[i]) >= least)
-        return _search(ids, linked)
+        return _search(group, linked)
 
     return lambda batches: _emitted(map(forest, _groups(batches, ["key", "one", "two"])))
 
 
 def _confirmed(percent: int):
     def forest(group: pa.Table):
-        ids = group.column("doc_id").to_numpy()
         sets = [shingles(t) for t in group.column("text").to_pylist()]
         n = np.array([len(s) for s in sets])
         every, dense = np.unique(np.concatenate(sets), return_inverse=True)
@@ -235,24 +249,48 @@ def _confirmed(percent: int):
                 hit[fits[k:k + 256]] = 100 * common >= percent * (n[some] + n[i] - common)
             mark[dense[at[i]:at[i + 1]]] = 0
             return hit
-        return _search(ids, linked)
+        return _search(group, linked)
 
     return lambda batches: _emitted(map(forest, _groups(batches, ["key", "one", "two"])))
 
 
-def _tiled(rows: DataFrame, blocks: F.Column) -> DataFrame:
-    """Rows dealt to pairs of blocks of their key: ``one <= two``, own block in it."""
-    own = F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int")
-    rows = rows.withColumn("_blocks", blocks.cast("long")).withColumn("_own", own)
-    rows = rows.withColumn("_other", F.explode(F.expr(
-        "filter(sequence(0, cast(_blocks as int) - 1), j -> j <> _own or _blocks = 1)")))
-    return (rows.withColumn("one", F.least("_own", "_other")).withColumn("two", F.greatest("_own", "_other"))
-            .drop("_blocks", "_own", "_other"))
-
-
-def _by_tile(rows: DataFrame, forest) -> DataFrame:
-    return (rows.repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
-            .mapInArrow(forest, "a long, b long"))
+def _by_tile(rows: DataFrame, payload: DataFrame, forest) -> DataFrame:
+    return (rows.join(payload, "doc_id").repartition("key", "one", "two")
+            .sortWithinPartitions("key", "one", "two")
+            .mapInArrow(forest, "key long, a long, b long"))
+
+
+def _links(members: DataFrame, hubs: DataFrame, payload: DataFrame, forest, limit: int,
+           scratch: Scratch, name: str) -> DataFrame:
+    """Links (``a, b``) that join what is linked in each group.
+
+    ``members`` are ``key, doc_id, weight``, ``hubs`` are ``key, hub, total`` (of the
+    weights) and ``payload`` is what ``forest`` compares, by ``doc_id``.
+    """
+    def blocks(total: str) -> F.Column:
+        return F.greatest(F.lit(1), F.ceil(F.col(total) / limit)).cast("int")
+
+    def all_of(n: str) -> F.Column:
+        return F.sequence(F.lit(0), F.col(n) - 1)
+
+    dealt = members.join(hubs, "key").withColumn("blocks", blocks("total")).withColumn(
+        "own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).drop("total")
+    first = dealt.select("key", "doc_id", "hub", "blocks", F.lit(0).alias("one"), F.explode(
+        F.when(F.col("doc_id") == F.col("hub"), all_of("blocks")).otherwise(F.array("own"))).alias("two"))
+    found = scratch.save(_by_tile(first, payload, forest), f"{name}-first")
+    # the members that no block's search from the hub reached, and all blocks of their groups
+    away = scratch.save(found.filter("b IS NULL").select("key", F.col("a").alias("doc_id")).distinct()
+                        .join(members, ["key", "doc_id"]), f"{name}-away")
+    many = scratch.save(away.groupBy("key").agg(F.sum("weight").alias("away")), f"{name}-many")
+    dealt = dealt.join(many.select("key", blocks("away").alias("rows")), "key")
+    every = dealt.select("key", "doc_id", "hub", F.explode(all_of("rows")).alias("one"),
+                         F.col("own").alias("two"))
+    apart = dealt.join(away.select("key", "doc_id").distinct(), ["key", "doc_id"], "left_semi").select(
+        "key", "doc_id", "hub", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.col("rows")).cast("int").alias("one"),
+        F.explode(all_of("blocks")).alias("two"))
+    second = every.unionByName(apart).withColumn("blocks", F.lit(1))
+    more = scratch.save(_by_tile(second, payload, forest), f"{name}-second")
+    return found.filter("b IS NOT NULL").unionByName(more).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, block_rows: int = BLOCK_ROWS,
@@ -269,19 +307,19 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block_rows: int = B
     # keys that at least two classes share
     bands = scratch.save(classes.select("doc_id", "registers").mapInArrow(
         _band_keys, "key long, doc_id long"), "bands")
-    shared = scratch.save(bands.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-                          .filter("members > 1"), "shared")
-    members = _tiled(bands.join(shared, "key"), F.ceil(F.col("members") / block_rows))
-    members = members.drop("members").join(classes.select("doc_id", "n", "registers"), "doc_id")
-    similar = scratch.save(_by_tile(members, _similar(percent)), "similar")
+    shared = scratch.save(bands.groupBy("key").agg(
+        F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("total")).filter("total > 1"), "shared")
+    similar = _links(bands.withColumn("weight", F.lit(1)), shared,
+                     classes.select("doc_id", "n", "registers"), _similar(percent), block_rows,
+                     scratch, "similar")
     clusters = components(similar, scratch, "clusters")
     # the texts of cluster members, by cluster
-    own = clusters.join(classes.select("doc_id", "n"), clusters["node"] == F.col("doc_id"))
-    sizes = scratch.save(own.groupBy("label").agg(F.sum("n").alias("shingles")), "sizes")
-    own = _tiled(own.join(sizes, "label").select(
-        F.col("label").alias("key"), "doc_id", "shingles"),
-        F.ceil(F.col("shingles") / block_shingles)).drop("shingles")
-    links = scratch.save(_by_tile(own.join(rows, "doc_id"), _confirmed(percent)), "links")
+    own = scratch.save(
+        clusters.join(classes.select("doc_id", "n"), clusters["node"] == F.col("doc_id"))
+        .select(F.col("label").alias("key"), "doc_id", F.col("n").alias("weight")), "own")
+    sizes = scratch.save(own.groupBy("key").agg(
+        F.min("doc_id").alias("hub"), F.sum("weight").alias("total")), "sizes")
+    links = _links(own, sizes, rows, _confirmed(percent), block_shingles, scratch, "links")
     labels = components(links, scratch, "groups")
     # rows -> class -> group
     named = scratch.save(
