@@ -279,11 +279,12 @@ def _links(members: DataFrame, hubs: DataFrame, payload: DataFrame, forest, limi
         F.when(F.col("doc_id") == F.col("hub"), all_of("blocks")).otherwise(F.array("own"))).alias("two"))
     found = scratch.save(_by_tile(first, payload, forest), f"{name}-first")
     # the members that no block's search from the hub reached, and all blocks of their groups
-    away = scratch.save(found.filter("b IS NULL").select("key", F.col("a").alias("doc_id")).distinct()
+    apart = found.filter("b IS NULL")
+    if apart.isEmpty():   # no second pass over what is compared
+        return found.select("a", "b")
+    away = scratch.save(apart.select("key", F.col("a").alias("doc_id")).distinct()
                         .join(members, ["key", "doc_id"]), f"{name}-away")
     many = scratch.save(away.groupBy("key").agg(F.sum("weight").alias("away")), f"{name}-many")
-    if many.isEmpty():   # no second pass over what is compared
-        return found.select("a", "b")
     dealt = dealt.join(many.select("key", blocks("away").alias("rows")), "key")
     every = dealt.select("key", "doc_id", "hub", F.explode(all_of("rows")).alias("one"),
                          F.col("own").alias("two"))
