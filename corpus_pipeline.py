@@ -43,10 +43,17 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
                   .filter(F.size("items") == 0))
 
 
+def _numbered(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` saved with a number of each row, ``_row``, so that what is decided by
+    row meets that row alone, also where a ``doc_id`` repeats or is missing."""
+    return Scratch(spark, name).save(
+        docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = source_mixing.mix(source_mixing.sized(docs)).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-        F.col("size").alias("_size"), "taken")
+    rows = _numbered(spark, docs, "mixing-input")
+    mixed = source_mixing.mix(source_mixing.sized(rows, "_row"), rows="_row").select(
+        "_row", F.col("size").alias("_size"), "taken")
     word = "[^\\x20\\x09-\\x0D]+"
     rest = F.col("taken") % F.greatest("_size", F.lit(1))
     full = F.floor(F.col("taken") / F.greatest("_size", F.lit(1))).cast("int")
@@ -54,7 +61,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         F.array().cast("array<bigint>"))
     copies = F.concat(copies, F.when(rest > 0, F.array(rest)).otherwise(
         F.array().cast("array<bigint>")))
-    taken = docs.join(mixed.filter("taken > 0"), F.expr("doc_id <=> _id AND source <=> _source"))
+    taken = rows.join(mixed.filter("taken > 0"), "_row")
     cut = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(word), F.lit(0)),
                                F.lit(1), F.greatest(F.lit(1), F.col("_cut")).cast("int")), " ")
     text = F.when(F.col("_cut") < 0, F.col("text")).otherwise(cut)

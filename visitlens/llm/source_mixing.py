@@ -59,14 +59,15 @@ def source_targets(sizes: DataFrame, most: int = MOST, weights: int = WEIGHTS) -
     return own.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
+def mix(docs: DataFrame, most: int = MOST, rows: str | None = None) -> DataFrame:
     """One row per row of ``docs``: its columns without ``text``, ``size``,
-    ``source_size``, ``target``, ``taken``. ``docs`` needs ``doc_id, source, size``."""
+    ``source_size``, ``target``, ``taken``. ``docs`` needs ``doc_id, source, size``;
+    ``rows`` names a column that numbers its rows, which then orders rows of one
+    ``doc_id`` and size and lets ranges split them."""
     scratch = Scratch(docs.sparkSession, "mixing")
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = scratch.save_sorted(
-        docs.withColumn("_key", key), [F.col("source").asc_nulls_last(), "_key", "doc_id", "size"],
-        "rows").drop("_key")
+    order = [F.col("source").asc_nulls_last(), "_key", "doc_id", "size", *([rows] if rows else [])]
+    rows = scratch.save_sorted(docs.withColumn("_key", key), order, "rows").drop("_key")
     targets = scratch.save(source_targets(rows, most), "targets")
     # one row per source and range, then per range of that source
     parts = rows.groupBy("source", "part").agg(F.sum("size").alias("n"))
@@ -92,8 +93,8 @@ def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
             .drop("part", "pos", "_part", "_source", "_offset", "_sum", "_epochs", "_rest"))
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", word_count(docs["text"]).alias("size"))
+def sized(docs: DataFrame, *others: str) -> DataFrame:
+    return docs.select("doc_id", "source", word_count(docs["text"]).alias("size"), *others)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
