@@ -2,14 +2,15 @@
 of ``visitlens.llm``, written as Parquet and read again by the next.
 
 1. language ID drops documents that fit no learned language;
-2. near-dedup keeps one document of each group;
+2. near-dedup keeps one row of each group;
 3. decontamination drops documents that hold a window of a benchmark item;
 4. mixing repeats or drops documents so that each source gives its target in
    words: a document taken k times in full appears k times, and the one at a
    source's cut appears once more with the words up to the cut;
 5. the rest are written as token ids in seekable frames and listed from there.
 
-A document that ends twice in the mix is two rows of equal ``doc_id``; the last
+Each decision is about one row, whether its ``doc_id`` is its own, repeats or is
+missing. A document that ends twice in the mix is two rows of equal ``doc_id``; the last
 stage writes both.
 """
 
@@ -23,31 +24,37 @@ from visitlens.llm import (decontamination, hyperminhash, language_id, source_mi
 from visitlens.llm.common import Scratch, documents
 
 
-def _keyed(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``doc_id`` is among the distinct ids of ``decisions``."""
-    return docs.join(decisions.select(F.col("doc_id").alias("_id")).distinct(),
-                     F.expr("doc_id <=> _id"), "left_semi")
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language_id.recognised(docs)
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keyed(docs, language_id.identify(docs).filter("NOT rejected"))
+def _numbered(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` saved with a number of each row, ``_row``, so that what is decided by
+    row meets that row alone, also where a ``doc_id`` repeats or is missing."""
+    return Scratch(spark, name).save(
+        docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _keyed(docs, hyperminhash.near_duplicates(docs).filter("kept"))
+    """One row of each group of near copies: of its smallest ``doc_id``, one without
+    only where the whole group lacks them. Rows are searched by their number, so
+    those that repeat or lack a ``doc_id`` are texts like others; rows without words
+    are copies if they share a ``doc_id``."""
+    rows = _numbered(spark, docs, "near-dedup-input")
+    found = hyperminhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id").join(
+        rows.select("_row", "doc_id"), "_row")
+    same = F.expr("n_shingles = 0 AND doc_id IS NOT NULL")
+    kept = found.groupBy(F.when(same, F.col("doc_id")).alias("empty"),
+                         F.when(~same, F.col("component_id")).alias("group")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("first"))
+    return rows.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(
+        *docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _keyed(docs, decontamination.find_contamination(docs, benchmark)
-                  .filter(F.size("items") == 0))
-
-
-def _numbered(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` saved with a number of each row, ``_row``, so that what is decided by
-    row meets that row alone, also where a ``doc_id`` repeats or is missing."""
-    return Scratch(spark, name).save(
-        docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    return decontamination.uncontaminated(docs, benchmark)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

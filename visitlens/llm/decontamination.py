@@ -23,6 +23,7 @@ empty tables give no rows, or rows without hits; other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -125,6 +126,15 @@ def _matched(shared):
     return run
 
 
+def _clean(shared):
+    def run(batches):
+        block = shared.value
+        for batch in pieces(batches):
+            yield batch.filter(pa.array([len(block.find(words(t))[0]) == 0
+                                         for t in batch.column("text").to_pylist()], pa.bool_()))
+    return run
+
+
 _FOUND = ("row long, doc_id long, n_words long, ranges array<struct<a:long,b:long>>, "
           "items array<long>")
 
@@ -150,15 +160,10 @@ def blocks(benchmark: DataFrame, scratch: Scratch, block_words: int) -> tuple[Da
     return numbered, (numbered.agg(F.max("block")).first()[0] or 0) + 1
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                       block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``row, doc_id, n_words, ranges, items`` of every document: where windows of
-    the benchmark occur (word places, end exclusive) and of which items."""
+def _query_sets(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int):
+    """A broadcast ``Block`` for each block of the benchmark."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "decontamination")
-    items, many = blocks(benchmark, scratch, block_words)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    found = None
+    items, many = blocks(benchmark, Scratch(spark, "decontamination"), block_words)
     for number in range(many):
         # a block: at most block_words words, and the rest of its last item
         held = [(r["item_id"], r["text"]) for r in items.filter(F.col("block") == number)
@@ -171,16 +176,33 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         counted = docs.select("text").mapInArrow(_counted(shared), "word int, n long")
         totals = {r["word"]: r["n"] for r in  # one row per word of the block
                   counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}
-        block = Block(held, {w: totals.get(i, 0) for w, i in vocabulary.items()}, window)
-        one = rows.mapInArrow(_matched(spark.sparkContext.broadcast(block)), _FOUND)
-        found = one if found is None else found.unionByName(one)
-    if many == 1:
-        return found
-    return found.groupBy("row", "doc_id", "n_words").agg(
+        yield spark.sparkContext.broadcast(
+            Block(held, {w: totals.get(i, 0) for w, i in vocabulary.items()}, window))
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                       block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``row, doc_id, n_words, ranges, items`` of every document: where windows of
+    the benchmark occur (word places, end exclusive) and of which items."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    found = [rows.mapInArrow(_matched(b), _FOUND)
+             for b in _query_sets(docs, benchmark, window, block_words)]
+    if len(found) == 1:
+        return found[0]
+    return reduce(DataFrame.unionByName, found).groupBy("row", "doc_id", "n_words").agg(
         F.flatten(F.collect_list("ranges")).alias("ranges"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                   block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark occurs, as they are."""
+    left = docs
+    for block in _query_sets(docs, benchmark, window, block_words):
+        left = left.mapInArrow(_clean(block), docs.schema)
+    return left
+
+
 def hit_words(ranges: F.Column) -> F.Column:
     """Words that any of the ranges covers."""
     step = F.aggregate(

@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from visitlens.llm.common import Scratch, documents, pieces
 
@@ -252,7 +253,7 @@ def _counter(languages: list[str]):
     return run
 
 
-def _scorer(shared, with_label: bool):
+def _scorer(shared, keep: list[str]):
     def run(batches):
         model = shared.value
         for batch in pieces(batches):
@@ -260,20 +261,20 @@ def _scorer(shared, with_label: bool):
             h, chars, squares = entropies(model, texts)
             best = h.argmin(1)
             row = np.arange(len(h))
-            out = {"h": pa.array(list(h), pa.list_(pa.float64())), "chars": pa.array(chars),
-                   "spread": pa.array(squares[row, best] - h[row, best] ** 2),
-                   "letters": pa.array([has_letter(t) for t in texts])}
-            keep = ["lang"] if with_label else ["doc_id", "held_out"]
+            out = {"_h": pa.array(list(h), pa.list_(pa.float64())), "_chars": pa.array(chars),
+                   "_spread": pa.array(squares[row, best] - h[row, best] ** 2),
+                   "_letters": pa.array([has_letter(t) for t in texts], pa.bool_())}
             yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in keep} | out)
     return run
 
 
-_SCORES = "h array<double>, chars double, spread double, letters boolean"
+_SCORES = "_h array<double>, _chars double, _spread double, _letters boolean"
 
 
-def _scored(rows: DataFrame, shared, with_label: bool) -> DataFrame:
-    kept = "lang string, " if with_label else "doc_id long, held_out boolean, "
-    return rows.mapInArrow(_scorer(shared, with_label), kept + _SCORES)
+def _scored(rows: DataFrame, shared, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of ``rows``, and the scores of ``text``."""
+    kept = T.StructType([rows.schema[c] for c in keep] + T.StructType.fromDDL(_SCORES).fields)
+    return rows.mapInArrow(_scorer(shared, keep), kept)
 
 
 def _probability(h: Column, temperature: float) -> Column:
@@ -293,16 +294,16 @@ class Calibration:
 def calibrate(scored: DataFrame, languages: list[str]) -> Calibration:
     """From rows of labelled texts with their cross-entropies; aggregates only."""
     number = F.create_map(*[x for i, n in enumerate(languages) for x in (F.lit(n), F.lit(i))])
-    rows = scored.filter("letters").withColumn("own", F.get("h", number[F.col("lang")]))
-    least = F.array_min("h")
-    losses = [F.avg((F.col("own") - least) / t - F.log(_probability(F.col("h"), t)))
+    rows = scored.filter("_letters").withColumn("own", F.get("_h", number[F.col("lang")]))
+    least = F.array_min("_h")
+    losses = [F.avg((F.col("own") - least) / t - F.log(_probability(F.col("_h"), t)))
               .alias(f"t{k}") for k, t in enumerate(TEMPERATURES)]
     row = rows.agg(*losses).first()
     temperature = min(zip((row[f"t{k}"] if row[f"t{k}"] is not None else 9e9
                            for k in range(len(TEMPERATURES))), TEMPERATURES))[1]
     by = {r["lang"]: r for r in rows.groupBy("lang").agg(
         F.avg("own").alias("mean"), F.var_pop("own").alias("between"),
-        F.avg("spread").alias("within")).collect()}  # one row per language
+        F.avg("_spread").alias("within")).collect()}  # one row per language
     none = {"mean": float(np.log(100)), "between": 1.0, "within": 1.0}
     own = [by.get(x, none) for x in languages]
     return Calibration(temperature, *[[r[c] for r in own] for c in ("mean", "between", "within")])
@@ -335,35 +336,48 @@ def train(docs: DataFrame, fitting: int = 0, calibrating: int = 2,
                 top.column("n").to_numpy().astype(float))
     shared = spark.sparkContext.broadcast(model)
     scored = Scratch(spark, "language-id").save(_scored(
-        rows.filter(F.col("fold") == calibrating).select("lang", "text"), shared, True), "scored")
+        rows.filter(F.col("fold") == calibrating).select("lang", "text"), shared, ["lang"]), "scored")
     return LanguageId(model, calibrate(scored, languages))
 
 
-def predict(docs: DataFrame, trained: LanguageId | None) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score, rejected`` of every row."""
-    held = (fold(docs["doc_id"]) == 1).alias("held_out")
+def judged(docs: DataFrame, trained: LanguageId | None, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of every row of ``docs``, and ``_lang_pred, _score, _rejected``
+    from its ``text``. Rows stay where they are, so no key is needed to tell them apart."""
     if trained is None:
-        return docs.select("doc_id", held, F.lit("und").alias("lang_pred"),
-                           F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+        return docs.select(*keep, F.lit("und").alias("_lang_pred"), F.lit(0.0).alias("_score"),
+                           F.lit(True).alias("_rejected"))
     c = trained.calibration
     shared = docs.sparkSession.sparkContext.broadcast(trained.model)
-    scored = _scored(docs.select("doc_id", held, "text"), shared, False)
-    best = (F.array_position("h", F.array_min("h")) - 1).cast("int")
+    scored = _scored(docs, shared, keep)
+    best = (F.array_position("_h", F.array_min("_h")) - 1).cast("int")
 
     def of(values: list[float]) -> Column:
         return F.get(F.array(*[F.lit(float(v)) for v in values]), best)
 
-    spread = F.sqrt(of(c.between) + of(c.within) / F.col("chars"))
+    spread = F.sqrt(of(c.between) + of(c.within) / F.col("_chars"))
     random = -trained.model.floor
-    strange = F.array_min("h") > F.greatest(
+    strange = F.array_min("_h") > F.greatest(
         of(c.mean) + REJECT_Z * F.greatest(spread, F.lit(1e-6)),
         (of(c.mean) + of(list(random))) / 2)
     names = F.array(*[F.lit(x) for x in trained.model.languages])
-    letters = F.col("letters")
+    letters = F.col("_letters")
     return scored.select(
-        "doc_id", "held_out", F.when(letters, F.get(names, best)).otherwise("und").alias("lang_pred"),
-        F.when(letters, _probability(F.col("h"), c.temperature)).otherwise(0.0).alias("score"),
-        (~letters | strange).alias("rejected"))
+        *keep, F.when(letters, F.get(names, best)).otherwise("und").alias("_lang_pred"),
+        F.when(letters, _probability(F.col("_h"), c.temperature)).otherwise(0.0).alias("_score"),
+        (~letters | strange).alias("_rejected"))
+
+
+def predict(docs: DataFrame, trained: LanguageId | None) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score, rejected`` of every row."""
+    held = (fold(docs["doc_id"]) == 1).alias("held_out")
+    out = judged(docs.select("doc_id", held, "text"), trained, ["doc_id", "held_out"])
+    return out.select("doc_id", "held_out", *[F.col(f"_{c}").alias(c)
+                                              for c in ("lang_pred", "score", "rejected")])
+
+
+def recognised(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, as they are."""
+    return judged(docs, train(docs), docs.columns).filter("NOT _rejected").select(*docs.columns)
 
 
 def identify(docs: DataFrame) -> DataFrame:
