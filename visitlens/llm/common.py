@@ -76,3 +76,12 @@ def pieces(batches, rows: int = 512):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def shared_folder(uri: str):
+    """The file system and path of a folder, for workers."""
+    from pyarrow import fs
+
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    return fs.FileSystem.from_uri(uri)

@@ -3,11 +3,12 @@
 One interpolated Kneser-Ney model of order ``ORDER`` per language: the highest
 order uses counts, lower orders the number of distinct characters seen before a
 gram, each level is discounted and the mass saved weights the next lower level
-down to a uniform one. Counting runs over all labelled rows of the fitting fold;
-the model keeps the ``MAX_GRAMS`` most frequent grams (a documented bound on its
-size, however large the corpus), is finished from those counts, and is shipped
-as sorted arrays of gram hashes with one log-probability per language, so a
-character costs one binary search, and more only where its gram is unknown.
+down to a uniform one. Counting runs over all labelled rows of the fitting fold, of
+every language; all grams stay, and the model is finished from them in Spark. It
+lies in the shared folder as arrays of grams, sorted and cut by range, with the
+log-probabilities of the languages that have a gram, and grows with the input. Tasks
+look the distinct grams of a slice of texts up in the ranges they fall into and hold
+a bounded part of the ranges; the driver holds one row per language and range.
 
 Texts are read whole as lower-case letters with all else as one space. A text
 gets the language of the lowest cross-entropy per character. ``score`` is the
@@ -19,7 +20,9 @@ its cross-entropy lies ``REJECT_Z`` such spreads above the mean of its best
 language and nearer to that of random letters than to that mean, so that only
 text unlike every language goes, not noisy or mixed text.
 
-Folds by crc32(doc_id as text) mod 3: 0 counts, 2 calibrates, 1 is held out.
+Folds by crc32(doc_id as text) mod 3: 0 counts, 2 calibrates, 1 is held out. A
+language with rows in one of the first two only gives the other those of one doc_id,
+or uses them for both if it has no other.
 
 Defined results: NULL text or text without a letter is ``und`` with score 0 and
 rejected; with no labelled rows at all every text is; equal cross-entropies give
@@ -29,21 +32,24 @@ for the fold. Rows that repeat count as often as they appear.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlens.llm.common import Scratch, documents, pieces
+from visitlens.llm.common import Scratch, documents, pieces, shared_folder
 
 ORDER = 4
-MAX_GRAMS = 400_000
-MAX_LANGUAGES = 200
 REJECT_Z = 8.0
 SLICE = 1 << 19
+LANGUAGES_AT_ONCE = 16
+HELD = 128 << 20
+RANGE_ROWS = 200_000
 TEMPERATURES = tuple(2.0 ** (k / 2) for k in range(-16, 5))
 SPACE = 32
 _LETTERS: list[np.ndarray] = []
@@ -85,16 +91,6 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return packed[own], starts - (ORDER - 1) * np.arange(len(starts))
 
 
-def mixed(keys: np.ndarray) -> np.ndarray:
-    """A one-to-one 64-bit hash."""
-    k = keys.copy()
-    k ^= k >> np.uint64(33)
-    k *= np.uint64(0xFF51AFD7ED558CCD)
-    k ^= k >> np.uint64(33)
-    k *= np.uint64(0xC4CEB9FE1A85EC53)
-    return k ^ (k >> np.uint64(33))
-
-
 def slices(texts: list[str]):
     """Runs of texts of about SLICE characters; (from, to) indexes."""
     at, size = 0, 0
@@ -107,100 +103,84 @@ def slices(texts: list[str]):
         yield at, len(texts)
 
 
-@dataclass
-class Model:
-    """Sorted hash arrays per order, longest grams last."""
-
-    languages: list[str]
-    keys: list[np.ndarray]      # of order 1 to ORDER: hashes of grams, sorted
-    logs: list[np.ndarray]      # log-probability of a gram's last character, by language
-    backs: list[np.ndarray]     # of order 1 to ORDER - 1: log weight of the lower level behind it
-    floor: np.ndarray           # log-probability of a character never seen
-
-    def logp(self, packed: np.ndarray, order: int = ORDER) -> np.ndarray:
+class Table:
+    """The fitted model as it lies in the shared folder: one Parquet file per range of
+    packed grams and order, sorted by gram, with the values of each language that has
+    the gram. A task opens the files that its texts' grams fall into and holds up to
+    ``HELD`` bytes of them, so neither the driver nor a task holds the whole model,
+    whatever its size; grams sorted as packed keep one script's grams in few files.
+    """
+
+    def __init__(self, uri: str, languages: list[str], floor: float, ranges: list[tuple]):
+        self.uri, self.languages, self.floor = uri, languages, floor
+        self.ranges = ranges    # by order and table: first grams, file names
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
+
+    def _file(self, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        held = self.__dict__.setdefault("_held", OrderedDict())
+        if name in held:
+            held.move_to_end(name)
+            return held[name]
+        system, folder = shared_folder(self.uri)
+        with system.open_input_file(f"{folder}/{name}") as f:
+            t = pq.read_table(f, columns=["gram", "lang", "value"])
+        got = (t.column("gram").to_numpy(), t.column("lang").to_numpy(), t.column("value").to_numpy())
+        held[name] = got
+        while len(held) > 1 and sum(x.nbytes for g in held.values() for x in g) > HELD:
+            held.popitem(last=False)
+        return got
+
+    def spread(self, kind: str, grams: np.ndarray, into: np.ndarray, languages: slice) -> None:
+        """Write the values of sorted ``grams`` where languages have them."""
+        firsts, names = self.ranges[kind]
+        # files whose range may hold one of the grams; a gram's rows can cross files
+        low = np.searchsorted(grams, firsts, "left")
+        high = np.append(np.searchsorted(grams, firsts[1:], "right"), len(grams))
+        for name, a, b in zip(names, low, high):
+            if a == b:
+                continue
+            own, lang, value = self._file(name)
+            at = np.searchsorted(own, grams[a:b], "left")
+            n = np.searchsorted(own, grams[a:b], "right") - at
+            row = np.repeat(np.arange(a, b), n)
+            src = np.repeat(at, n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            col = lang[src]
+            fits = (col >= languages.start) & (col < languages.stop)
+            into[row[fits], col[fits] - languages.start] = value[src[fits]]
+
+    def logp(self, grams: np.ndarray, languages: slice, order: int = ORDER) -> np.ndarray:
+        """Log-probability of the last character of sorted distinct grams, by language."""
         if order == 0:
-            return np.broadcast_to(self.floor, (len(packed), len(self.floor)))
-        low = packed if order == 4 else packed & np.uint64((1 << (16 * order)) - 1)
-        at, known = self._find(order, low)
-        out = self.logs[order - 1][at]
-        if not known.all():
-            rest = ~known
-            out[rest] = self.logp(packed[rest], order - 1)
-            if order > 1:
-                at, known = self._find(order - 1, low[rest] >> np.uint64(16))
-                out[rest] += np.where(known[:, None], self.backs[order - 2][at], 0)
+            return np.full((len(grams), languages.stop - languages.start), self.floor)
+        low, at = np.unique(grams & np.int64((1 << (16 * (order - 1))) - 1), return_inverse=True)
+        out = self.logp(low, languages, order - 1)[at]
+        contexts, at = np.unique((grams.view(np.uint64) >> np.uint64(16)).view(np.int64),
+                                 return_inverse=True)
+        weight = np.zeros((len(contexts), out.shape[1]))
+        self.spread(f"back{order}", contexts, weight, languages)
+        out += weight[at]
+        self.spread(f"gram{order}", grams, out, languages)
         return out
 
-    def _find(self, order: int, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        table = self.keys[order - 1]
-        if not len(table):
-            return np.zeros(len(low), np.int64), np.zeros(len(low), bool)
-        h = mixed(low)
-        at = np.minimum(np.searchsorted(table, h), len(table) - 1)
-        return at, table[at] == h
-
-
-def fit(languages: list[str], lang: np.ndarray, packed: np.ndarray, n: np.ndarray) -> Model:
-    """Kneser-Ney from (language number, gram, count) rows of the highest order."""
-    many, size = len(languages), len(languages)
-    levels = []
-    for order in range(ORDER, 0, -1):
-        own = packed if order == 4 else packed & np.uint64((1 << (16 * order)) - 1)
-        if order < ORDER:  # the number of distinct characters in front
-            own, lang, n = _summed(own, lang, np.ones(len(own)))
-        levels.append((own, lang, n.astype(float)))
-        packed = own
-    vocabulary = max(1, len(np.unique(levels[-1][0]))) + 1
-    model = Model(languages, [], [], [], np.full(many, -np.log(vocabulary)))
-    context_weight = None
-    for order, (own, lang, n) in enumerate(reversed(levels), start=1):
-        types = np.unique(own)
-        counts = np.zeros((len(types), size))
-        counts[np.searchsorted(types, own), lang] = n
-        ones, twos = (counts == 1).sum(0), (counts == 2).sum(0)
-        discount = np.clip(ones / np.maximum(ones + 2 * twos, 1), 0.1, 0.9)
-        contexts, at = np.unique(types >> np.uint64(16), return_inverse=True)
-        total, seen = np.zeros((len(contexts), size)), np.zeros((len(contexts), size))
-        np.add.at(total, at, counts)
-        np.add.at(seen, at, counts > 0)
-        weight = np.where(total > 0, discount * seen / np.maximum(total, 1), 1.0)
-        lower = np.exp(model.logp(types, order - 1)) if order > 1 else np.exp(model.floor)
-        p = np.maximum(counts - discount, 0) / np.maximum(total, 1)[at] + weight[at] * lower
-        if order > 1:  # the weights stand with the grams of one order less
-            kept = np.zeros((len(model.keys[-1]), size))
-            where, known = model._find(order - 1, contexts)
-            kept[where[known]] = np.log(weight[known])
-            model.backs.append(kept.astype(np.float32))
-        h = mixed(types)
-        by = np.argsort(h)
-        model.keys.append(h[by])
-        model.logs.append(np.log(p[by]).astype(np.float32))
-    model.floor = model.floor.astype(np.float32)
-    return model
-
-
-def _summed(own: np.ndarray, lang: np.ndarray, n: np.ndarray):
-    both = np.rec.fromarrays([own, lang], names="g,l")
-    by = np.lexsort((lang, own))
-    own, lang, n = own[by], lang[by], n[by]
-    new = np.ones(len(own), dtype=bool)
-    new[1:] = (own[1:] != own[:-1]) | (lang[1:] != lang[:-1])
-    at = np.nonzero(new)[0]
-    return own[at], lang[at], np.add.reduceat(n, at) if len(n) else n
-
-
-def entropies(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(texts x languages) nats per character, characters, mean square of the best
-    language's nats - all slices of bounded size, long texts included."""
-    sums = np.zeros((len(texts), len(model.languages)))
+
+def entropies(model: Table, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(texts x languages) nats per character, characters, mean square of the nats -
+    all slices of bounded size, long texts and many languages included."""
+    many = len(model.languages)
+    sums = np.zeros((len(texts), many))
     squares, chars = np.zeros_like(sums), np.zeros(len(texts))
     pieces = [(i, t[k:k + SLICE]) for i, t in enumerate(texts) for k in range(0, len(t), SLICE)]
     for a, b in slices([p for _, p in pieces]):
         packed, starts = grams([p for _, p in pieces[a:b]])
-        logs = -model.logp(packed)
         which = np.array([i for i, _ in pieces[a:b]])
-        np.add.at(sums, which, np.add.reduceat(logs, starts))
-        np.add.at(squares, which, np.add.reduceat(logs * logs, starts))
+        own, at = np.unique(packed.view(np.int64), return_inverse=True)
+        for first in range(0, many, LANGUAGES_AT_ONCE):
+            some = slice(first, min(many, first + LANGUAGES_AT_ONCE))
+            logs = -model.logp(own, some).astype(np.float32)[at]
+            np.add.at(sums, (which, some), np.add.reduceat(logs, starts, dtype=np.float64))
+            np.add.at(squares, (which, some), np.add.reduceat(logs * logs, starts, dtype=np.float64))
         np.add.at(chars, which, np.diff(np.append(starts, len(packed))))
     chars = np.maximum(chars, 1)
     return sums / chars[:, None], chars, squares / chars[:, None]
@@ -311,32 +291,107 @@ def calibrate(scored: DataFrame, languages: list[str]) -> Calibration:
 
 @dataclass
 class LanguageId:
-    model: Model
+    model: Table
     calibration: Calibration
 
 
-def train(docs: DataFrame, fitting: int = 0, calibrating: int = 2,
-          max_grams: int = MAX_GRAMS) -> LanguageId | None:
+def _levels(counts: DataFrame, scratch: Scratch) -> dict[int, DataFrame]:
+    """``lang, gram, n`` of each order from those of the highest: lower orders count
+    the distinct characters in front of a gram."""
+    out = {ORDER: scratch.save(counts, f"n{ORDER}")}
+    for order in range(ORDER - 1, 0, -1):
+        low = F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1))
+        out[order] = scratch.save(out[order + 1].groupBy("lang", low.alias("gram")).agg(
+            F.count(F.lit(1)).alias("n")), f"n{order}")
+    return out
+
+
+def fit(languages: list[str], counts: DataFrame) -> Table:
+    """Kneser-Ney from rows (language number, gram, count) of the highest order, each
+    step a grouping or a join of tables in the shared folder."""
+    scratch = Scratch(counts.sparkSession, "language-model")
+    levels = _levels(counts, scratch)
+    vocabulary = levels[1].agg(F.count_distinct("gram")).first()[0]
+    floor = -float(np.log(max(1, vocabulary) + 1))
+    ranges, lower = {}, None
+    for order in range(1, ORDER + 1):
+        n, context = F.col("n"), F.shiftrightunsigned("gram", 16)
+        ones, twos = F.count_if(n == 1), F.count_if(n == 2)
+        discounts = levels[order].groupBy("lang").agg(F.greatest(F.lit(0.1), F.least(
+            F.lit(0.9), ones / F.greatest(ones + 2 * twos, F.lit(1)))).alias("d"))
+        # by language and context, with the discount of the language (one row each)
+        back = scratch.save(
+            levels[order].groupBy("lang", context.alias("context")).agg(
+                F.sum("n").alias("total"), F.count(F.lit(1)).alias("seen"))
+            .join(F.broadcast(discounts), "lang")
+            .select("lang", "context", "total", "d", (F.col("d") * F.col("seen") / F.col("total")).alias("w")),
+            f"contexts{order}")
+        rows = levels[order].withColumn("context", context).join(back, ["lang", "context"])
+        own = F.greatest(n - F.col("d"), F.lit(0.0)) / F.col("total")
+        if order == 1:
+            p = own + F.col("w") * F.lit(float(np.exp(floor)))
+        else:
+            rows = rows.withColumn("low", F.col("gram").bitwiseAND(
+                F.lit((1 << (16 * (order - 1))) - 1))).join(
+                lower.select("lang", F.col("gram").alias("low"), F.col("p").alias("q")), ["lang", "low"])
+            p = own + F.col("w") * F.col("q")
+        ranges[f"back{order}"] = _sorted_files(
+            back.select(F.col("context").alias("gram"), "lang", F.log("w").cast("float").alias("value")),
+            scratch, f"back{order}")
+        lower = scratch.save(rows.select("lang", "gram", p.alias("p")), f"p{order}")
+        ranges[f"gram{order}"] = _sorted_files(
+            lower.select("gram", "lang", F.log("p").cast("float").alias("value")), scratch, f"gram{order}")
+    return Table(scratch.path, languages, floor, ranges)
+
+
+def _sorted_files(rows: DataFrame, scratch: Scratch, name: str) -> tuple[np.ndarray, list[str]]:
+    """Saved in files of one range of grams each: their first grams and names."""
+    many = max(1, -(-rows.count() // RANGE_ROWS))
+    saved = scratch.save(rows.repartitionByRange(many, "gram", "lang")
+                         .sortWithinPartitions("gram", "lang"), name)
+    # one row per file
+    files = sorted((r["first"], r["file"]) for r in saved.groupBy(
+        F.col("_metadata.file_name").alias("file")).agg(F.min("gram").alias("first")).collect())
+    return np.array([f for f, _ in files], np.int64), [f"{name}/{f}" for _, f in files]
+
+
+def _dealt(rows: DataFrame, fitting: int, calibrating: int,
+           scratch: Scratch) -> tuple[DataFrame, list[str]]:
+    """``lang, text, fits, calibrates`` of the rows of two folds, and the languages.
+    A language that has rows in one of them only gives the other its rows of the
+    largest key; one whose rows have one key uses them for both."""
+    by = scratch.save(rows.groupBy("lang").agg(
+        F.count_if(F.col("fold") == fitting).alias("a"), F.count_if(F.col("fold") == calibrating).alias("b"),
+        F.min("key").alias("least"), F.max("key").alias("most")), "languages")
+    of = by.select("lang", (F.col("a") == 0).alias("no_a"), (F.col("b") == 0).alias("no_b"),
+                   (F.col("least") == F.col("most")).alias("alone"), "most")
+    short = F.expr("no_a OR no_b")
+    top, fits = F.expr("key = most"), F.col("fold") == fitting
+    # one row per language
+    dealt = rows.join(F.broadcast(of), "lang").select(
+        "lang", "text",
+        F.when(~short, fits).otherwise(F.col("alone") | (F.col("no_a") == top)).alias("fits"),
+        F.when(~short, ~fits).otherwise(F.col("alone") | (F.col("no_a") != top)).alias("calibrates"))
+    return dealt, sorted(r["lang"] for r in by.select("lang").collect())
+
+
+def train(docs: DataFrame, fitting: int = 0, calibrating: int = 2) -> LanguageId | None:
     """Fit and calibrate on the labelled rows of two folds; None without any."""
     spark = docs.sparkSession
     rows = (docs.filter("lang IS NOT NULL AND text IS NOT NULL")
-            .select("lang", "text", fold(docs["doc_id"]).alias("fold")))
-    rows = rows.filter(F.col("fold").isin(fitting, calibrating))
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    languages = sorted(r["lang"] for r in found.collect())  # at most MAX_LANGUAGES
+            .select("lang", "text", fold(docs["doc_id"]).alias("fold"), F.xxhash64("doc_id").alias("key")))
+    rows = rows.filter(F.col("fold").isin(fitting, calibrating) & F.col("text").rlike("\\p{L}"))
+    scratch = Scratch(spark, "language-id")
+    rows, languages = _dealt(rows, fitting, calibrating, scratch)
     if not languages:
         return None
-    rows = rows.filter(F.col("lang").isin(languages))
-    fitted = rows.filter(F.col("fold") == fitting).select("lang", "text")
+    fitted = rows.filter("fits").select("lang", "text")
     counts = (fitted.mapInArrow(_counter(languages), "lang int, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    top = counts.orderBy(F.desc("n"), "gram", "lang").limit(max_grams).toArrow()
-    model = fit(languages, top.column("lang").to_numpy().astype(np.int64),
-                top.column("gram").to_numpy().view(np.uint64).copy(),
-                top.column("n").to_numpy().astype(float))
-    shared = spark.sparkContext.broadcast(model)
-    scored = Scratch(spark, "language-id").save(_scored(
-        rows.filter(F.col("fold") == calibrating).select("lang", "text"), shared, ["lang"]), "scored")
+    model = fit(languages, counts)
+    scored = scratch.save(_scored(
+        rows.filter("calibrates").select("lang", "text"), spark.sparkContext.broadcast(model), ["lang"]),
+        "scored")
     return LanguageId(model, calibrate(scored, languages))
 
 
@@ -358,7 +413,7 @@ def judged(docs: DataFrame, trained: LanguageId | None, keep: list[str]) -> Data
     random = -trained.model.floor
     strange = F.array_min("_h") > F.greatest(
         of(c.mean) + REJECT_Z * F.greatest(spread, F.lit(1e-6)),
-        (of(c.mean) + of(list(random))) / 2)
+        (of(c.mean) + random) / 2)
     names = F.array(*[F.lit(x) for x in trained.model.languages])
     letters = F.col("_letters")
     return scored.select(

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from visitlens.llm.common import Scratch, documents
+from visitlens.llm.common import Scratch, documents, shared_folder
 
 FRAME_IDS = 1 << 16
 END_ID = 2
@@ -245,16 +245,8 @@ class FrameReader:
             int(d["at"]):int(d["at"] + d["n"])] for d in own]
 
 
-def _folder(uri: str):
-    from pyarrow import fs
-
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    return fs.FileSystem.from_uri(uri)
-
-
 def open_file(uri: str, name: str) -> FrameReader:
-    system, folder = _folder(uri)
+    system, folder = shared_folder(uri)
     return FrameReader(system.open_input_file(f"{folder}/{name}"))
 
 
@@ -279,7 +271,7 @@ def _write(uri: str, vocabulary: str, end_id: int, frame_ids: int):
 
         task = TaskContext.get()
         end, writer = struct.pack("<I", end_id), None
-        system, folder = _folder(uri)
+        system, folder = shared_folder(uri)
         name = f"part-{task.partitionId():06d}.ids.zst"
         held = f"{folder}/.{name}.{task.taskAttemptId()}"
         for ids, texts in _slices(batches):
