@@ -73,3 +73,23 @@ def test_every_language_is_learned(spark):
             seen += 1
     out = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
     assert {r.doc_id: r.lang_pred for r in out} == {i: lang for i, _, lang in rows}
+
+
+def test_a_language_of_many_characters_does_not_loosen_the_others(spark):
+    rng = random.Random(8)
+    words = ["that", "the", "and", "of", "which", "with", "from", "have", "were", "their"]
+    vowels, consonants = "aeiou", "bcdfghjklmnpqrstvwxyz"
+    words += ["".join(rng.choice(consonants) + rng.choice(vowels) for _ in range(rng.randint(1, 4)))
+              for _ in range(400)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(80)), "aa") for i in range(300)]
+    rows += [(300 + i, "".join(chr(rng.randrange(0x4E00, 0x8E00)) for _ in range(400)), "hh")
+             for i in range(300)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    odd = [(1000 + i, " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9)))
+                               for _ in range(80)), None) for i in range(20)]
+    mixed = [(2000 + i, t + " 漢字", None) for i, t, _ in rows[:20]]
+    docs = spark.createDataFrame(rows + odd + mixed, "doc_id long, text string, lang string")
+    out = {r.doc_id: r for r in language_id.identify(docs).collect()}
+    assert all(out[i].rejected for i, _, _ in odd)
+    assert not any(out[i].rejected for i, _, _ in rows + mixed)
+    assert all(out[i].lang_pred == lang for i, _, lang in rows)

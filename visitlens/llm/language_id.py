@@ -17,8 +17,9 @@ log loss on a fold of its own, which neither counts grams nor is held out. That
 fold also gives each language's mean and spread of cross-entropy (the spread as a
 part between texts and a part that shrinks with length); a text is rejected if
 its cross-entropy lies ``REJECT_Z`` such spreads above the mean of its best
-language and nearer to that of random letters than to that mean, so that only
-text unlike every language goes, not noisy or mixed text.
+language and nearer to that of random letters of that language's own alphabet than
+to that mean, so that only text unlike every language goes, not noisy or mixed text,
+whatever scripts the other languages have.
 
 Folds by crc32(doc_id as text) mod 3: 0 counts, 2 calibrates, 1 is held out. A
 language with rows in one of the first two only gives the other those of one doc_id,
@@ -49,6 +50,7 @@ REJECT_Z = 8.0
 SLICE = 1 << 19
 LANGUAGES_AT_ONCE = 16
 HELD = 128 << 20
+RARE = 10_000
 RANGE_ROWS = 200_000
 TEMPERATURES = tuple(2.0 ** (k / 2) for k in range(-16, 5))
 SPACE = 32
@@ -111,9 +113,11 @@ class Table:
     whatever its size; grams sorted as packed keep one script's grams in few files.
     """
 
-    def __init__(self, uri: str, languages: list[str], floor: float, ranges: list[tuple]):
+    def __init__(self, uri: str, languages: list[str], floor: float, random: list[float],
+                 ranges: dict[str, tuple]):
         self.uri, self.languages, self.floor = uri, languages, floor
-        self.ranges = ranges    # by order and table: first grams, file names
+        self.random = random    # nats of a random character of each language's own alphabet
+        self.ranges = ranges    # by table and order: first grams, file names
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if not k.startswith("_")}
@@ -341,7 +345,19 @@ def fit(languages: list[str], counts: DataFrame) -> Table:
         lower = scratch.save(rows.select("lang", "gram", p.alias("p")), f"p{order}")
         ranges[f"gram{order}"] = _sorted_files(
             lower.select("gram", "lang", F.log("p").cast("float").alias("value")), scratch, f"gram{order}")
-    return Table(scratch.path, languages, floor, ranges)
+    return Table(scratch.path, languages, floor, _random_letters(levels[ORDER], len(languages)), ranges)
+
+
+def _random_letters(counts: DataFrame, many: int) -> list[float]:
+    """By language, the nats of a character drawn at random from its own alphabet: the
+    characters that are at least one in ``RARE`` of its text."""
+    chars = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(0xFFFF)).alias("char")).agg(
+        F.sum("n").alias("n"))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    sizes = chars.join(F.broadcast(totals), "lang").groupBy("lang").agg(
+        F.count_if(F.col("n") * RARE >= F.col("total")).alias("size"))
+    by = {r["lang"]: r["size"] for r in sizes.collect()}  # one row per language
+    return [float(np.log(by.get(i, 0) + 1)) for i in range(many)]
 
 
 def _sorted_files(rows: DataFrame, scratch: Scratch, name: str) -> tuple[np.ndarray, list[str]]:
@@ -410,10 +426,9 @@ def judged(docs: DataFrame, trained: LanguageId | None, keep: list[str]) -> Data
         return F.get(F.array(*[F.lit(float(v)) for v in values]), best)
 
     spread = F.sqrt(of(c.between) + of(c.within) / F.col("_chars"))
-    random = -trained.model.floor
     strange = F.array_min("_h") > F.greatest(
         of(c.mean) + REJECT_Z * F.greatest(spread, F.lit(1e-6)),
-        (of(c.mean) + random) / 2)
+        (of(c.mean) + of(trained.model.random)) / 2)
     names = F.array(*[F.lit(x) for x in trained.model.languages])
     letters = F.col("_letters")
     return scored.select(
