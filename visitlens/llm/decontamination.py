@@ -16,8 +16,8 @@ document.
 
 Words are runs of ASCII letters, digits and characters beyond ASCII, A-Z
 lower-cased. Defined results: NULL text has no words; an item without words has
-no window; items that lack an ``item_id`` are not looked for; items that repeat
-an id are one item; rows that repeat a ``doc_id`` are documents of their own;
+no window; items that lack an ``item_id`` give hit words but no item; items that
+repeat an id are one item; rows that repeat a ``doc_id`` are documents of their own;
 empty tables give no rows, or rows without hits; other columns are not read.
 """
 
@@ -57,7 +57,7 @@ class Block:
             for k in range(max(1, len(ids) - window + 1) if ids else 0):
                 windows.setdefault(tuple(ids[k:k + window]), set()).add(item_id)
         rarity = np.array([counts.get(w, 0) for w in self.vocabulary], dtype=np.int64)
-        self.items = [sorted(v, key=str) for v in windows.values()]
+        self.items = [sorted(v - {None}) for v in windows.values()]
         keys = list(windows)
         self.length = np.array([len(k) for k in keys], dtype=np.int64)
         self.words = np.full((len(keys), window), -2, dtype=np.int64)
@@ -141,11 +141,10 @@ _FOUND = ("row long, doc_id long, n_words long, ranges array<struct<a:long,b:lon
 
 def blocks(benchmark: DataFrame, scratch: Scratch, block_words: int) -> tuple[DataFrame, int]:
     """The items with a block number each; a block holds ``block_words`` words or
-    one item. Items of one id stay together."""
+    one item."""
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.size(F.split(text, NO_WORD)).cast("long")
-    items = benchmark.filter("item_id IS NOT NULL").select("item_id", text.alias("text"),
-                                                            size.alias("size"))
+    items = benchmark.select("item_id", text.alias("text"), size.alias("size"))
     ordered = scratch.save_sorted(items, ["item_id", F.xxhash64("text"), "text"], "items")
     parts = ordered.groupBy("part").agg(F.sum("size").alias("n"))  # one row per sort range
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
