@@ -91,8 +91,9 @@ def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     placed = Window.partitionBy("_row", "kind").orderBy("nth")
     spans = _matches(docs).withColumn(
         "end", F.sum(F.col("gap") + F.col("len")).over(placed)).withColumn(
-        "start", F.col("end") - F.col("len")).filter(
-        F.col("kind").isNull() | F.col("good")).select("_row", "doc_id", "kind", "start", "end")
+        "start", F.col("end") - F.col("len")).select(
+        # a match that fails its check only holds its document's row
+        "_row", "doc_id", F.when(F.col("good"), F.col("kind")).alias("kind"), "start", "end")
     order = Window.partitionBy("_row").orderBy("start", "kind")
     spans = spans.withColumn("scope", F.sum(F.when(kind("break"), 1).otherwise(0)).over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))

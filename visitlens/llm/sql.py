@@ -70,7 +70,7 @@ ORACLE_SQL = {
             SELECT item_id, regexp_extract_all(translate(
                 coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-            FROM benchmark WHERE item_id IS NOT NULL),
+            FROM benchmark),
         iw AS (
             SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[p:p + 9], ' ') AS gram
             FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS p
@@ -86,7 +86,8 @@ ORACLE_SQL = {
             FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id),
         items AS (
             SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits
+                  WHERE item_id IS NOT NULL) GROUP BY doc_id)
         SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
                coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated

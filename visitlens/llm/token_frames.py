@@ -36,6 +36,8 @@ from visitlens.llm.common import Scratch, documents, shared_folder
 FRAME_IDS = 1 << 16
 END_ID = 2
 SLICE_BYTES = 1 << 20
+#: Marks the unit at the start of a text; no byte of UTF-8 equals it.
+AT_START = b"\xff"
 #: Units that a worker remembers, about 200 bytes each.
 MOST_UNITS = 1_500_000
 #: Fixed values of the Zstandard seekable format.
@@ -124,9 +126,9 @@ class Encoder:
             # a unit without its leading space, except at the start of the text
             parts = text.replace(b"\n", b" \n").split(b" ")
             if b"" in parts or b"\n" in parts:
-                parts = [b"\0" + u for u in _UNIT.findall(text)]
+                parts = [AT_START + u for u in _UNIT.findall(text)]
             else:
-                parts[0] = b"\0" + parts[0]
+                parts[0] = AT_START + parts[0]
             found = [*map(units.__getitem__, parts)]
             if None in found:
                 late.append((i, parts, found))
@@ -135,7 +137,7 @@ class Encoder:
         if units.wanted:
             wanted = [*dict.fromkeys(units.wanted)]
             units.update(zip(wanted, self._encode_units([
-                k[1:] if k[:1] == b"\0" else k if k[:1] == b"\n" else b" " + k for k in wanted])))
+                k[1:] if k[:1] == AT_START else k if k[:1] == b"\n" else b" " + k for k in wanted])))
         for i, parts, found in late:
             out[i] = b"".join([units[k] if v is None else v for k, v in zip(parts, found)])
         if whole:
@@ -329,10 +331,11 @@ def _read(uri: str):
 
 def read_token_frames(files: DataFrame, uri: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of every document of the files."""
-    # one row per file
+    # one row and one task per file
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("n_ids").over(before), F.lit(0))
-    return files.select("part", "file", start.alias("start")).repartition("part").select(
+    return files.select("part", "file", start.alias("start")).repartitionByRange(
+        max(1, files.count()), "part").select(
         "start", "file").mapInArrow(_read(uri), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
