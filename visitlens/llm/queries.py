@@ -8,8 +8,11 @@ from visitlens.llm.hilbert_sharding import op2
 from visitlens.llm.hyperminhash import op8
 from visitlens.llm.language_id import op1
 from visitlens.llm.line_dedup import op6
+from visitlens.llm.personal_data import op13
+from visitlens.llm.prefix_trie import op11
 from visitlens.llm.secret_linking import op3
 from visitlens.llm.source_mixing import op7
+from visitlens.llm.structure_repair import op12
 from visitlens.llm.token_counts import op4
 from visitlens.llm.token_frames import op9
 
@@ -24,4 +27,7 @@ QUERIES = {
     "op8_near_dedup": op8,
     "op9_token_frames": op9,
     "op10_decontamination": op10,
+    "op11_prefix_trie": op11,
+    "op12_structure_repair": op12,
+    "op13_personal_data": op13,
 }

@@ -92,4 +92,42 @@ ORACLE_SQL = {
                coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_prefix_trie": r"""
+        WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+        h AS (   -- crc32 of the decimal id, bit by bit
+            SELECT conv_id, xor(4294967295, list_reduce(
+                       list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT),
+                       lambda s, b: list_reduce(range(8)::UBIGINT[], lambda x, i:
+                           xor(x >> 1, 3988292384 * (x & 1)), xor(s, b)),
+                       4294967295::UBIGINT)) % 4 AS h
+            FROM ids),
+        o AS (
+            SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+                                 ORDER BY turn NULLS FIRST, role, text) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        b AS (
+            SELECT o.conv_id, list_concat(coalesce(p.turns[1:h], []), o.turns[h + 1:]) AS s
+            FROM o JOIN h USING (conv_id) LEFT JOIN o p ON p.conv_id = o.conv_id - o.conv_id % 20),
+        k AS (
+            SELECT conv_id, depth, len(s) = depth AS ends, sha256(to_json(s[1:depth])::VARCHAR) AS node,
+                   sha256(to_json(s[1:depth - 1])::VARCHAR) AS above,
+                   len(regexp_extract_all(s[depth].text, '[^\x20\x09-\x0D]+')) AS words
+            FROM (SELECT conv_id, s, unnest(range(len(s) + 1)) AS depth FROM b)),
+        n AS (
+            SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   (count(*) - 1) * coalesce(any_value(words), 0) AS saved,
+                   CASE WHEN depth > 0 THEN any_value(above) END AS above,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), ''))
+                   AS ends_sha256
+            FROM k GROUP BY depth, node),
+        c AS (SELECT above AS node, depth - 1 AS depth, count(*) AS n FROM n WHERE depth > 0 GROUP BY ALL),
+        u AS (   -- what each node gives to the nodes above it and to itself
+            SELECT k.depth, k.node, sum(n.saved) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+            FROM n LEFT JOIN c USING (depth, node)
+            JOIN k ON k.conv_id = n.conv_id AND k.depth <= n.depth
+            GROUP BY ALL)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+               u.leaves AS n_leaves, u.saved::BIGINT AS saved_tokens, n.ends_sha256
+        FROM n JOIN u USING (depth, node) LEFT JOIN c USING (depth, node)
+        LEFT JOIN n p ON p.node = n.above AND p.depth = n.depth - 1""",
 }
