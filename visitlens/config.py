@@ -57,13 +57,6 @@ EXPLOIT_PATTERN = "(_exploit_dom_xss|onerror=|%20)"
 # text removed from SKUs after grouping
 SKU_STRIP_TEXT = "jpg"
 
-# Money is accumulated in this exact type in the SKU job. Double sums depend
-# on summation order (i.e. on partitioning), so rounding them to cents is not
-# reproducible. Twelve decimals keep every digit that a double of up to ten
-# thousand has and leave 26 integer digits, so rows are not rounded before the
-# sum in any currency unit. Results are returned as double, like the original.
-MONEY = "decimal(38,12)"
-
 # order status codes
 PAID_STATUSES = ("PAID", "PARTIALLY_PAID")
 AUTHORIZED_STATUS = "AUTHORIZED"
@@ -140,6 +133,8 @@ class VisitMartConfig:
     # a visit with more orders in the window than this has them split over
     # several tasks in the final visits-sales join (exact at any value)
     sales_rows_per_task: int = 100_000
+    # visits with a goal are sent to the first touches up to this number of them
+    max_goal_visits: int = 5_000_000
 
 
 @dataclass(frozen=True)

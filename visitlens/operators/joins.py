@@ -57,7 +57,7 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int,
 def left_join_dimension(left: DataFrame, dim: DataFrame, key: str, max_rows: int,
                         max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``left LEFT JOIN dim USING (key)``: broadcast if bounded, else shuffled with
-    the rows that lack the key going past the shuffle."""
+    the rows that lack the key spread evenly."""
     own = f"_{key}"
     dim = dim.withColumnRenamed(key, own)
     if has_at_most(dim, max_rows, max_bytes):
@@ -67,49 +67,74 @@ def left_join_dimension(left: DataFrame, dim: DataFrame, key: str, max_rows: int
 
 def left_join_nullable_key(left: DataFrame, right: DataFrame, left_key: str,
                            right_key: str) -> DataFrame:
-    """``left LEFT JOIN right ON left[left_key] = right[right_key]``.
-
-    Rows whose key is NULL can never match, yet a shuffled join would send all
-    of them to one reducer (they all hash alike) - a hot group when many keys
-    are missing. They bypass the join and are appended with NULL right-side
-    columns, so only matchable rows are shuffled.
+    """``left LEFT JOIN right ON left[left_key] = right[right_key]``, each side read once.
+
+    Rows whose key is NULL never match, yet a shuffled join would send all of them
+    to one task (they hash alike). So the sides are dealt by the key and a second
+    column: 0 where there is a key, on both sides, and a hash of the whole row
+    where the left key is NULL. Rows without a key spread over all tasks, and one
+    exchange of each side serves both kinds. (Equal rows without a key still meet;
+    adaptive execution splits them, as they are the left side of a left join.)
     """
-    keyed = left.where(F.col(left_key).isNotNull()).join(
-        right, F.col(left_key) == F.col(right_key), "left")
-    right_nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    unkeyed = left.where(F.col(left_key).isNull()).select("*", *right_nulls)
-    return keyed.unionByName(unkeyed)
-
-
-
-def left_join_splitting_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                             keys: DataFrame | None, rows_per_task: int) -> DataFrame:
-    """``left LEFT JOIN right ON left_key = right_key`` with large keys split.
-
-    A key with very many right rows would meet them all in one task. ``keys`` is
-    the one key column that the right rows come from: a key that occurs in it n
-    times gets ``ceil(n / rows_per_task)`` buckets. One aggregate counts it (with
-    partial sums, so no key is gathered), and only keys of several buckets are kept,
-    as a table that both sides look up - NULL keys are never among them. Right rows
-    go to a bucket by hash and left rows to all buckets of their key, so every pair
-    is made once; a split key has right rows, so the copies of its left rows that
-    met none in their bucket are dropped.
+    row = [F.col(f"`{f.name}`") for f in left.schema.fields
+           if f.dataType.typeName() not in ("map", "variant")]
+    spread = F.when(F.col(left_key).isNull(), F.xxhash64(*row)).otherwise(F.lit(0).cast("long"))
+    # of a column, not a constant: the optimizer would fold that into a filter of the left side
+    none = F.when(F.col(right_key).isNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    left = left.withColumn("_no_key", spread)
+    right = right.withColumn("_no_right_key", none)
+    return left.join(right, (F.col(left_key) == F.col(right_key))
+                     & (F.col("_no_key") == F.col("_no_right_key")), "left").drop(
+        "_no_key", "_no_right_key")
+
+
+#: Split keys up to this number are broadcast to the sides that look them up.
+MAX_SPLIT_KEYS = 1_000_000
+
+
+class SplitKeys:
+    """Keys with so many rows that one task should not hold them, and their buckets.
+
+    ``keys`` is the one key column that the large side has its rows from: a key that
+    occurs in it n times gets ``ceil(n / rows_per_task)`` buckets. One aggregate
+    counts it (with partial sums, so no key is gathered) and the keys of several
+    buckets, never NULL, are kept as a written table. With none, nothing is added to
+    any side.
+
+    All sides of all joins on the key are dealt by the key and a bucket number:
+    :meth:`copied` puts a row into every bucket of its key, :meth:`dealt` into one by
+    hash. As the rows of a key without buckets have the number 0, they are exchanged
+    once however many joins follow.
     """
-    if keys is None:
-        return left.join(right, F.col(left_key) == F.col(right_key), "left")
-    key = keys.columns[0]
-    large = (keys.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
-             .agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("_buckets"))
-             .where("_buckets > 1"))
-    last = F.coalesce("_buckets", F.lit(1)) - 1
-    left = (left.join(large, F.col(left_key) == F.col("_key"), "left")
-            .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
-            .withColumnRenamed("_buckets", "_split").drop("_key"))
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), last + 1)
-    right = (right.where(F.col(right_key).isNotNull())
-             .join(large, F.col(right_key) == F.col("_key"), "left")
-             .withColumn("_bucket", bucket.cast("int")).drop("_key", "_buckets"))
-    out = left.join(right, (F.col(left_key) == F.col(right_key))
-                    & (F.col("_salt") == F.col("_bucket")), "left")
-    return out.where(F.col("_split").isNull() | F.col(right_key).isNotNull()).drop(
-        "_salt", "_bucket", "_split")
+
+    def __init__(self, keys: DataFrame, rows_per_task: int):
+        from visitlens.session import scratch_path
+
+        spark, key = keys.sparkSession, keys.columns[0]
+        large = (keys.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
+                 .agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("_buckets"))
+                 .where("_buckets > 1"))
+        path = scratch_path(spark, "split-keys")
+        large.write.parquet(path)
+        self.table = spark.read.schema(large.schema).parquet(path)
+        self.any = not self.table.isEmpty()
+        if self.any and has_at_most(self.table, MAX_SPLIT_KEYS):
+            self.table = F.broadcast(self.table)
+
+    def _looked_up(self, df: DataFrame, key: str) -> DataFrame:
+        return df.join(self.table, F.col(key) == F.col("_key"), "left").drop("_key")
+
+    def copied(self, df: DataFrame, key: str, bucket: str, split: str | None = None) -> DataFrame:
+        """``df`` with each row in all buckets of its key (NULL keys in bucket 0), and
+        whether there are several."""
+        last = F.coalesce("_buckets", F.lit(1)) - 1
+        out = self._looked_up(df, key).withColumn(bucket, F.explode(F.sequence(F.lit(0), last)))
+        if split:
+            out = out.withColumn(split, last > 0)
+        return out.drop("_buckets")
+
+    def dealt(self, df: DataFrame, key: str, bucket: str) -> DataFrame:
+        """``df`` with each row in one bucket of its key, by a hash of the row."""
+        n = F.coalesce("_buckets", F.lit(1))
+        place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), n).cast("int")
+        return self._looked_up(df, key).withColumn(bucket, place).drop("_buckets")

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from visitlens import config as C
 from visitlens.config import SkuMartConfig
+from visitlens.functions.exact import (carried, exact_sum, held, merged_sum, rounded,
+                                       times)
 from visitlens.functions.lookback import trailing_months
 from visitlens.functions.urls import (catalog_item_id, category_id, clean_url, container_id,
                                       is_product_page, last_segment, not_search,
@@ -29,6 +31,7 @@ FACT_COLUMNS = ["visit_id", "order_id", "is_order_cancelled", "revenue", "profit
 PAGE_MEASURES = ["cancel_orders", "net_orders", "cancel_revenue", "net_revenue", "profit"]
 PAGE_COLUMNS = ["visit_id", "eurl", "url", "site", "container_id", "category_id",
                 "catalog_item_id", "akeneo_sku", "product_identifier", *PAGE_MEASURES]
+MONEY_MEASURES = ["net_revenue", "cancel_revenue", "profit"]
 ITEM_COLUMNS = ["eurl", "catalog_item_id", "akeneo_sku", "pageviews", "net_orders",
                 "cancel_orders", "net_revenue", "cancel_revenue", "profit"]
 
@@ -48,22 +51,26 @@ def order_facts_union(legacy: DataFrame, current: DataFrame, cfg: SkuMartConfig)
 
 
 def visit_order_totals(facts: DataFrame) -> DataFrame:
-    """Per visit: the five G9 measures over its order facts (money as decimal)."""
+    """Per visit: the five G9 measures over its order facts, money as exact sums."""
     cancelled = F.col("is_order_cancelled") == F.lit(True)
     kept = F.col("is_order_cancelled") == F.lit(False)
+    amounts = {"f_cancel_revenue": F.when(cancelled, F.col("revenue")),
+               "f_net_revenue": F.when(kept, F.col("revenue")), "f_profit": F.col("profit")}
+    facts = facts.withColumns({c: x.cast("double") for c, x in amounts.items()})
+    facts = facts.withColumns({f"h{c}": held(c) for c in amounts})
     return facts.groupBy("visit_id").agg(
         F.count(F.when(cancelled, F.col("order_id"))).alias("f_cancel_orders"),
         F.count(F.when(kept, F.col("order_id"))).alias("f_net_orders"),
-        F.sum(F.when(cancelled, F.col("revenue").cast(C.MONEY))).alias("f_cancel_revenue"),
-        F.sum(F.when(kept, F.col("revenue").cast(C.MONEY))).alias("f_net_revenue"),
-        F.sum(F.col("profit").cast(C.MONEY)).alias("f_profit"))
+        *[exact_sum(c, f"h{c}").alias(c) for c in amounts]).withColumns(
+        {c: carried(c) for c in amounts})
 
 
 def page_facts(actions: DataFrame, facts: DataFrame, cfg: SkuMartConfig) -> DataFrame:
     """J16 + G9 + G10: one row per (visit, URL, site class) with order measures.
 
     The original's group keys are all functions of (visit, URL, site class), so
-    grouping on those three gives the same groups.
+    grouping on those three gives the same groups. Money measures are exact sums
+    (:mod:`visitlens.functions.exact`); :func:`money_as_double` rounds them.
     """
     a = actions.where(is_product_page("url", C.VISIT_PRODUCT_PAGE)
                       & _window(cfg, "datetime_est")
@@ -87,9 +94,7 @@ def page_facts(actions: DataFrame, facts: DataFrame, cfg: SkuMartConfig) -> Data
         F.when(~nextgen, last_segment(clean)).alias("product_identifier"),
         (F.coalesce(F.col("f_cancel_orders"), F.lit(0)) * n).alias("cancel_orders"),
         (F.coalesce(F.col("f_net_orders"), F.lit(0)) * n).alias("net_orders"),
-        (F.col("f_cancel_revenue") * n).alias("cancel_revenue"),
-        (F.col("f_net_revenue") * n).alias("net_revenue"),
-        (F.col("f_profit") * n).alias("profit"))
+        *[times(f"f_{c}", "hits").alias(c) for c in MONEY_MEASURES])
 
 
 def page_facts_by_item(pages: DataFrame, container_items: DataFrame,
@@ -112,9 +117,12 @@ def page_facts_by_item(pages: DataFrame, container_items: DataFrame,
                   F.count("url").alias("pageviews"),
                   F.sum("net_orders").alias("net_orders"),
                   F.sum("cancel_orders").alias("cancel_orders"),
-                  F.sum("net_revenue").alias("net_revenue"),
-                  F.sum("cancel_revenue").alias("cancel_revenue"),
-                  F.sum("profit").alias("profit"))
+                  *[merged_sum(c).alias(c) for c in MONEY_MEASURES])
              .withColumn("akeneo_sku", strip_sku_text("raw_sku"))
              .select(*ITEM_COLUMNS))
 
+
+def money_as_double(df: DataFrame, places: int = 6) -> DataFrame:
+    """The exact money sums of page or item facts as doubles of ``places`` decimals."""
+    df = df.withColumns({c: carried(c) for c in MONEY_MEASURES})
+    return df.withColumns({c: rounded(c, places) for c in MONEY_MEASURES})

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from visitlens.operators.joins import broadcast_if_bounded
 from visitlens.operators.touch import VISIT_ATTRIBUTES
 
 # URL markers of an already tracked visit (lower-cased URL)
@@ -35,7 +36,7 @@ def untracked(referrer_type: Column, url: Column) -> Column:
 
 
 def attribution_repair(touches: DataFrame, goals: DataFrame, order_items: DataFrame,
-                       donors: DataFrame) -> DataFrame:
+                       donors: DataFrame, max_goal_visits: int = 5_000_000) -> DataFrame:
     """J3-J6 + F4 + G1: repaired URL and attributes per converting visit.
 
     ``donors`` is :func:`~visitlens.operators.touch.donor_carts` with
@@ -44,11 +45,14 @@ def attribution_repair(touches: DataFrame, goals: DataFrame, order_items: DataFr
 
     The goal join of the original only filters (its fan-out collapses in the
     grouping, and ``max`` ignores duplicates), so it is a semi join against
-    the distinct goal visits: no goal x item pairs are ever built.
+    the distinct goal visits: no goal x item pairs are ever built. Few visits have
+    a goal, so these are sent to the first touches (behind a count: at most
+    ``max_goal_visits``), which are filtered where they are read and exchanged only
+    if they bought; beyond the bound both sides are exchanged.
     """
     buyers = touches.where(untracked(F.col("referrer_type"), F.col("url"))) \
         .select("visit_id", "visitor_ip", "datetime_est")
-    goal_visits = goals.select("visit_id").distinct()
+    goal_visits = broadcast_if_bounded(goals.select("visit_id").distinct(), max_goal_visits)
     buyers = buyers.join(goal_visits, "visit_id", "left_semi")
     bought = buyers.join(order_items.select("visit_id", "item_sku"), "visit_id", "inner")
     d = donors.where(F.col("url").isNotNull()).select(

@@ -27,7 +27,7 @@ def visit_sales(visit_orders: DataFrame, profit_loss: DataFrame, as_of: dt.date,
     """Orders in the window, each with its profit-report row (left join).
 
     The join key is the third dash part of the composite order id; ids without
-    one have a NULL key and skip the shuffle (see
+    one have a NULL key and are spread over the tasks (see
     :func:`~visitlens.operators.joins.left_join_nullable_key`).
     """
     orders = (visit_orders.where(trailing_days("datetime_est", as_of, days))

@@ -28,20 +28,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from visitlens.config import SiteRules, SkuMartConfig, VisitMartConfig
 from visitlens.plans.sku_mart import build_sku_mart
-from visitlens.plans.visit_mart import build_visit_mart
+from visitlens.plans.visit_mart import build_visit_mart, store_visits
 from visitlens.sinks import read_partitioned, write_jdbc, write_partitioned
-from visitlens.sources.tables import CatalogTables, Tables
+from visitlens.sources.tables import CatalogTables, ParquetTables, Tables
 
 PARTITION_KEY = "first_action_date_est"
-# range keys inside a date: the order id splits a visit with very many orders
-CLUSTER_KEYS = ("visit_id", "order_id")
+# the SKU job filters on it: row groups outside its window are skipped
+SORT_KEYS = ("date_est",)
 
 
 def run_visit_mart(t: Tables, cfg: VisitMartConfig, out_path: str,
                    fmt: str = "parquet") -> None:
     """Visit job: overwrite the mart's date partitions for ``cfg``'s window."""
     mart = build_visit_mart(t, cfg)
-    write_partitioned(mart, out_path, by=PARTITION_KEY, cluster=CLUSTER_KEYS, fmt=fmt)
+    write_partitioned(mart, out_path, by=PARTITION_KEY, cluster=True, sort=SORT_KEYS, fmt=fmt)
 
 
 def run_sku_mart(t: Tables, cfg: SkuMartConfig, out_path: str | None = None,
@@ -60,8 +60,14 @@ def run_sku_mart(t: Tables, cfg: SkuMartConfig, out_path: str | None = None,
 
 
 def run_daily(t: Tables, visit_cfg: VisitMartConfig, sku_cfg: SkuMartConfig,
-              visit_mart_path: str, sku_mart_path: str) -> None:
-    """Both jobs in order; the SKU job reads the freshly written visit mart."""
+              visit_mart_path: str, sku_mart_path: str, visit_buckets: int | None = None,
+              visits_table: str = "visits_by_id") -> None:
+    """Both jobs in order; the SKU job reads the freshly written visit mart.
+
+    With ``visit_buckets``, the visit master is first stored by ``visit_id`` in so many
+    buckets (table ``visits_table``), and the visit job reads it without an exchange."""
+    if visit_buckets:
+        store_visits(t, visits_table, visit_buckets)
     run_visit_mart(t, visit_cfg, visit_mart_path)
     t.with_table("visit_mart", read_partitioned(t.spark, visit_mart_path))
     run_sku_mart(t, sku_cfg, out_path=sku_mart_path)
@@ -96,6 +102,12 @@ def _parse(argv=None):
     p.add_argument("--jdbc-connections", type=int, help="sku-mart: connections at once")
     p.add_argument("--table", action="append", default=[],
                    help="logical=qualified catalog name (repeatable)")
+    p.add_argument("--path", action="append", default=[],
+                   help="logical=path of a Parquet table (repeatable, in place of --table)")
+    p.add_argument("--visit-buckets", type=int,
+                   help="visit job: store the visit master by visit id in so many buckets first")
+    p.add_argument("--visits-table", default="visits_by_id",
+                   help="visit job: name of that stored table")
     return p.parse_args(argv)
 
 
@@ -124,10 +136,16 @@ def main(argv=None) -> None:
     sku_cfg = SkuMartConfig(as_of=args.as_of, months=args.months, lag_days=args.lag_days)
     spark: SparkSession = get_session(app_name=f"visitlens-{args.job}")
     t = CatalogTables(spark, dict(kv.split("=", 1) for kv in args.table))
+    files = ParquetTables(spark, dict(kv.split("=", 1) for kv in args.path))
+    for name in files.paths:
+        t.with_table(name, files[name])
     if args.job == "visit-mart":
+        if args.visit_buckets:
+            store_visits(t, args.visits_table, args.visit_buckets)
         run_visit_mart(t, visit_cfg, args.out, args.format)
     elif args.job == "daily":
-        run_daily(t, visit_cfg, sku_cfg, args.visit_mart_out, args.out)
+        run_daily(t, visit_cfg, sku_cfg, args.visit_mart_out, args.out, args.visit_buckets,
+                  args.visits_table)
     else:
         props = dict(kv.split("=", 1) for kv in args.jdbc_property)
         run_sku_mart(t, sku_cfg, out_path=args.out, jdbc_url=args.jdbc_url,

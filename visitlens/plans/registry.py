@@ -30,7 +30,9 @@ from visitlens.functions.urls import (ad_sku, catalog_item_id, category_id, clea
 from visitlens.operators import touch
 from visitlens.operators.impressions import (impressions_by_sku, months_window,
                                              pla_impressions, text_impressions)
-from visitlens.operators.pages import order_facts_union, page_facts, page_facts_by_item
+from visitlens.operators.joins import left_join_nullable_key
+from visitlens.operators.pages import (money_as_double, order_facts_union, page_facts,
+                                       page_facts_by_item)
 from visitlens.operators.repair import attribution_repair
 from visitlens.operators.sales import visit_sales
 from visitlens.plans import sku_mart as sm
@@ -159,7 +161,7 @@ def q_sink_partitioned(spark, sf_dir):
     path = scratch_path(spark, "visit-mart")
     for as_of in (dt.date(2024, 1, 24), VISIT_AS_OF):
         mart = vm.build_visit_mart(TestdataTables(spark, sf_dir), visit_cfg(as_of))
-        write_partitioned(mart, path, by="first_action_date_est", cluster=("visit_id", "order_id"))
+        write_partitioned(mart, path, by="first_action_date_est", cluster=True, sort=("date_est",))
     back = read_partitioned(spark, path)
     return back.select(*[c for c in mart.columns])
 
@@ -189,7 +191,7 @@ def q_category_catalog_ids(spark, sf_dir):
                         container_id(clean_url("url"), C.VISIT_CONTAINER_TEST).alias("container_id"))
     ci = t["container_items"].select(F.col("container_id").cast("string").alias("ci_container"),
                                      F.col("catalog_item_id").cast("string").alias("map_catalog"))
-    j = w.join(ci, w["container_id"] == ci["ci_container"], "left")
+    j = left_join_nullable_key(w, ci, "container_id", "ci_container")
     return j.select("event_id", "url", "category_id", "url_catalog_item_id", "container_id",
                     F.coalesce("url_catalog_item_id", "map_catalog").alias("catalog_item_id"))
 
@@ -242,13 +244,13 @@ def q_order_facts_union(spark, sf_dir):
 
 def q_page_facts(spark, sf_dir):
     t, cfg = TestdataTables(spark, sf_dir), sku_cfg()
-    return page_facts(t["visit_actions"], _facts(t, cfg), cfg)
+    return money_as_double(page_facts(t["visit_actions"], _facts(t, cfg), cfg))
 
 
 def q_page_facts_by_item(spark, sf_dir):
     t, cfg = TestdataTables(spark, sf_dir), sku_cfg()
-    return page_facts_by_item(page_facts(t["visit_actions"], _facts(t, cfg), cfg),
-                              t["container_items"], cfg)
+    return money_as_double(page_facts_by_item(
+        page_facts(t["visit_actions"], _facts(t, cfg), cfg), t["container_items"], cfg))
 
 
 def q_sku_mart(spark, sf_dir):
@@ -297,9 +299,10 @@ def q_sink_insert_into(spark, sf_dir):
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in first.schema.fields)
     spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet "
               f"PARTITIONED BY (first_action_date_est) LOCATION '{path}'")
-    write_insert_into(first, table, by="first_action_date_est", cluster=("visit_id", "order_id"))
+    write_insert_into(first, table, by="first_action_date_est", cluster=True)
     second = vm.build_visit_mart(TestdataTables(spark, sf_dir), cfg)
-    write_insert_into(second, table, by="first_action_date_est", cluster=("visit_id", "order_id"))
+    write_insert_into(second, table, by="first_action_date_est", cluster=True)
+    spark.sql(f"DROP TABLE {table}")     # the files stay
     return spark.read.parquet(path).select(*second.columns)
 
 
@@ -324,7 +327,7 @@ def q_daily_chain(spark, sf_dir):
     t = TestdataTables(spark, sf_dir)
     path = scratch_path(spark, "chain-visit-mart")
     write_partitioned(vm.build_visit_mart(t, visit_cfg()), path, by="first_action_date_est",
-                      cluster=("visit_id", "order_id"))
+                      cluster=True, sort=("date_est",))
     t.with_table("visit_mart", read_partitioned(spark, path))
     return sm.build_sku_mart(t, sku_cfg())
 
@@ -332,3 +335,46 @@ def q_daily_chain(spark, sf_dir):
 QUERIES["visit_mart_salted"] = q_visit_mart_salted
 QUERIES["sku_mart_shuffled"] = q_sku_mart_shuffled
 QUERIES["daily_chain"] = q_daily_chain
+
+
+#: Columns that the first of two runs lacks, as an older release would.
+ADDED_COLUMNS = ("channel", "demand_profit")
+
+
+def _evolving_mart(spark, sf_dir) -> str:
+    """Two daily runs into one table, the second with more columns; the table's path."""
+    path = scratch_path(spark, "evolving-visit-mart")
+    for as_of, lacking in ((dt.date(2024, 1, 24), ADDED_COLUMNS), (VISIT_AS_OF, ())):
+        mart = vm.build_visit_mart(TestdataTables(spark, sf_dir), visit_cfg(as_of))
+        write_partitioned(mart.drop(*lacking), path, by="first_action_date_est", cluster=True,
+                          sort=("date_est",))
+    return path
+
+
+def q_sink_evolving(spark, sf_dir):
+    """K1, schema merge: the added columns are read back, NULL where the first run wrote."""
+    back = read_partitioned(spark, _evolving_mart(spark, sf_dir))
+    return back.select("visit_id", "date_est", "order_id", "net_revenue", *ADDED_COLUMNS,
+                       "first_action_date_est")
+
+
+def q_daily_chain_evolving(spark, sf_dir):
+    """The SKU job over a mart table that got columns between two runs."""
+    t = TestdataTables(spark, sf_dir)
+    t.with_table("visit_mart", read_partitioned(spark, _evolving_mart(spark, sf_dir)))
+    return sm.build_sku_mart(t, sku_cfg())
+
+
+def q_visit_mart_bucketed(spark, sf_dir):
+    """The visit mart over a master stored by visit id: no exchange of the master."""
+    t, path = TestdataTables(spark, sf_dir), scratch_path(spark, "visits-by-id")
+    table = "visits_by_id_" + path.rsplit("-", 1)[-1]
+    vm.store_visits(t, table, 8, path)
+    mart = vm.build_visit_mart(t, visit_cfg())
+    spark.sql(f"DROP TABLE {table}")     # resolved by now, and the files stay
+    return mart
+
+
+QUERIES["sink_evolving"] = q_sink_evolving
+QUERIES["daily_chain_evolving"] = q_daily_chain_evolving
+QUERIES["visit_mart_bucketed"] = q_visit_mart_bucketed

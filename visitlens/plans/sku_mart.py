@@ -21,11 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.config import SkuMartConfig
+from visitlens.functions.exact import merged_sum
 from visitlens.functions.urls import not_exploit
 from visitlens.operators.impressions import (impressions_by_sku, pla_impressions,
                                              text_impressions)
-from visitlens.operators.joins import broadcast_if_bounded
-from visitlens.operators.pages import order_facts_union, page_facts, page_facts_by_item
+from visitlens.operators.joins import left_join_dimension, left_join_nullable_key
+from visitlens.operators.pages import (MONEY_MEASURES, money_as_double, order_facts_union,
+                                       page_facts, page_facts_by_item)
 from visitlens.sources.tables import Tables
 
 SKU_MART_COLUMNS = ["akeneo_sku", "pageviews", "net_orders", "cancel_orders", "net_revenue",
@@ -48,33 +50,31 @@ def sku_totals(items: DataFrame, sku_map: DataFrame, products: DataFrame,
                imps: DataFrame, cfg: SkuMartConfig) -> DataFrame:
     """J18-J20 + F16 + F17 + G12 + P20.
 
-    The SKU map and the product master are broadcast behind the row bound. The
+    The SKU map and the product master are broadcast behind the row bound; beyond
+    it, and for the impressions, rows without a key are spread over the tasks. The
     impressions table is derived (an aggregate per SKU); counting it up front
     would compute it twice, so its join is left to adaptive execution, which
     broadcasts it only if its measured shuffle output is small.
     """
-    skus = broadcast_if_bounded(sku_map.select(
-        F.col("catalog_item_id").cast("string").alias("catalog_item_id"),
-        F.col("akeneo_sku").alias("map_sku")),
-        cfg.broadcast_max_rows, cfg.broadcast_max_bytes)
-    prods = broadcast_if_bounded(products.select(
-        F.lower("akeneo_sku").alias("sku_key"), F.col("akeneo_sku").alias("product_sku")),
-        cfg.broadcast_max_rows, cfg.broadcast_max_bytes)
+    bounds = (cfg.broadcast_max_rows, cfg.broadcast_max_bytes)
+    skus = sku_map.select(F.col("catalog_item_id").cast("string").alias("catalog_item_id"),
+                          F.col("akeneo_sku").alias("map_sku"))
+    prods = products.select(F.lower("akeneo_sku").alias("sku_key"),
+                            F.col("akeneo_sku").alias("product_sku"))
     imp = imps.select(F.lower("akeneo_sku").alias("imp_key"), F.col("impressions").alias("imp"))
-    j = items.join(skus, "catalog_item_id", "left")
-    j = j.join(prods, F.lower(j["akeneo_sku"]) == prods["sku_key"], "left")
-    j = j.join(imp, F.lower(F.coalesce(j["akeneo_sku"], j["map_sku"])) == imp["imp_key"], "left")
+    j = left_join_dimension(items, skus, "catalog_item_id", *bounds)
+    j = left_join_dimension(j.withColumn("sku_key", F.lower("akeneo_sku")), prods, "sku_key", *bounds)
+    j = j.withColumn("shown_as", F.lower(F.coalesce("akeneo_sku", "map_sku")))
+    j = left_join_nullable_key(j, imp, "shown_as", "imp_key")
     key = F.lower(F.coalesce("product_sku", "map_sku"))
     out = (j.where(key.isNotNull() & not_exploit("eurl"))
             .groupBy(key.alias("akeneo_sku"))
             .agg(F.sum("pageviews").alias("pageviews"),
                  F.sum("net_orders").alias("net_orders"),
                  F.sum("cancel_orders").alias("cancel_orders"),
-                 F.round(F.sum("net_revenue"), 2).cast("double").alias("net_revenue"),
-                 F.round(F.sum("cancel_revenue"), 2).cast("double").alias("cancel_revenue"),
-                 F.round(F.sum("profit"), 2).cast("double").alias("profit"),
+                 *[merged_sum(c).alias(c) for c in MONEY_MEASURES],
                  F.max("imp").alias("impressions")))
-    return out.na.fill(0).select(*SKU_MART_COLUMNS)
+    return money_as_double(out, 2).na.fill(0).select(*SKU_MART_COLUMNS)
 
 
 def build_sku_mart(t: Tables, cfg: SkuMartConfig) -> DataFrame:

@@ -14,8 +14,10 @@ the visit master and filters on the master's date (J10), which makes the
 second join a right outer join. ``visits LEFT JOIN f_data LEFT JOIN sales``
 yields exactly the same rows (for a visit with n f_data rows and m sales rows:
 n*m, or n, or m, or one bare visit row). Both joins are keyed by the visit
-master's ``visit_id``, so the master is shuffled once and the second join
-reuses the first one's partitioning.
+master's ``visit_id`` (and, if there are visits with very many orders, by a
+bucket number), so the master is shuffled once and the second join reuses the
+first one's partitioning; a master stored by ``visit_id``
+(:func:`store_visits`) is not shuffled at all.
 """
 
 from __future__ import annotations
@@ -33,16 +35,28 @@ from visitlens.functions.lookback import trailing_days
 from visitlens.functions.params import url_param_columns
 from visitlens.contract import (CONSTANTS, FROM_VISIT_ROWS, MART_COLUMNS, MART_TYPES,
                                MASTER_RENAMES)
-from visitlens.operators.joins import left_join_splitting_keys
+from visitlens.operators.joins import SplitKeys
 from visitlens.operators.repair import END_DATA_COLUMNS, apply_repair, attribution_repair
 from visitlens.operators.sales import visit_sales
 from visitlens.operators.touch import (VISIT_ATTRIBUTES, donor_carts, first_touch,
                                        latest_carts, window_logs)
 from visitlens.session import scratch_path
+from visitlens.sinks import store_bucketed
 from visitlens.sources.tables import Tables
 
 # --- steps ----------------------------------------------------------------
 
+def store_visits(t: Tables, table: str, buckets: int, path: str | None = None) -> Tables:
+    """The visit master stored by ``visit_id`` (``table``, ``buckets`` files), for all that follows.
+
+    First touch joins its attributes and the mart joins its full rows by ``visit_id``;
+    both read the stored copy without an exchange of the master. Worth it where the
+    copy serves both joins at full width or several runs.
+    """
+    return t.with_table("visits", store_bucketed(
+        t["visits"], table, "visit_id", buckets, path))
+
+
 def visit_touches(t: Tables, cfg: VisitMartConfig) -> DataFrame:
     logs = window_logs(t["visit_events"], t["visit_actions"], cfg.as_of, cfg.days)
     return first_touch(logs, t["visits"], cfg.site_rules)
@@ -71,7 +85,7 @@ def end_data(t: Tables, cfg: VisitMartConfig, touches: DataFrame | None = None)
     """First touch with repaired attribution."""
     touches = touches if touches is not None else shared_touches(t, cfg)
     donors = donor_carts(latest_carts(t["carts"]), touches, with_attributes=True)
-    repairs = attribution_repair(touches, t["goals"], t["order_items"], donors)
+    repairs = attribution_repair(touches, t["goals"], t["order_items"], donors, cfg.max_goal_visits)
     return apply_repair(touches, repairs)
 
 
@@ -122,8 +136,10 @@ def attach_to_visits(visits_window: DataFrame, f_data: DataFrame, sales: DataFra
     ``date_est``, ``visit_id`` (NULL for visits with neither f_data nor sales
     rows, as in the original) and all f_data / sales columns. With ``orders``,
     the ``visit_id`` column that ``sales`` has its rows from, visits with more
-    than ``rows_per_task`` of them have their sales split over several tasks
-    (:func:`~visitlens.operators.joins.left_join_splitting_keys`).
+    than ``rows_per_task`` of them have their sales dealt to several buckets and
+    their (few) visit rows copied into each
+    (:class:`~visitlens.operators.joins.SplitKeys`); both joins are then keyed by
+    visit and bucket, so the master still is exchanged once.
     """
     wanted = set(MART_COLUMNS) - FROM_VISIT_ROWS - CONSTANTS
     master_cols = [F.col(c).alias(MASTER_RENAMES.get(c, c)) for c in visits_window.columns
@@ -133,8 +149,20 @@ def attach_to_visits(visits_window: DataFrame, f_data: DataFrame, sales: DataFra
                       *[c for c in f_data.columns if c not in ("visit_id", "visitor_ip")])
     s = sales.select(F.col("visit_id").alias("_s_visit_id"),
                      *[c for c in sales.columns if c != "visit_id"])
-    vf = v.join(f, F.col("_av_visit_id") == F.col("_f_visit_id"), "left")
-    j = left_join_splitting_keys(vf, s, "_av_visit_id", "_s_visit_id", orders, rows_per_task)
+    own, split = F.col("_av_visit_id"), SplitKeys(orders, rows_per_task) if orders is not None else None
+    if split is None or not split.any:
+        j = (v.join(f, own == F.col("_f_visit_id"), "left")
+             .join(s, own == F.col("_s_visit_id"), "left"))
+    else:
+        v = split.copied(v, "_av_visit_id", "_bucket", "_split")
+        f = split.copied(f, "_f_visit_id", "_f_bucket")
+        s = split.dealt(s.where("_s_visit_id IS NOT NULL"), "_s_visit_id", "_s_bucket")
+        bucket = F.col("_bucket")
+        j = (v.join(f, (own == F.col("_f_visit_id")) & (bucket == F.col("_f_bucket")), "left")
+             .join(s, (own == F.col("_s_visit_id")) & (bucket == F.col("_s_bucket")), "left"))
+        # a split visit has sales: its copies that met none in their bucket go
+        j = j.where(~F.col("_split") | F.col("_s_visit_id").isNotNull()).drop(
+            "_bucket", "_f_bucket", "_s_bucket", "_split")
     return j.withColumns({"date_est": F.coalesce("datetime_est", "report_datetime"),
                           "visit_id": F.coalesce("_s_visit_id", "_f_visit_id")})
 

@@ -9,10 +9,12 @@
 
 from __future__ import annotations
 
+import json
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 @contextmanager
@@ -30,35 +32,91 @@ def dynamic_overwrite(spark: SparkSession):
             spark.conf.set(key, prev)
 
 
-def _clustered(df: DataFrame, by: str | None, cluster) -> DataFrame:
-    """Bring rows of one partition value together in tasks of even size.
+def _clustered(df: DataFrame, by: str | None, cluster: bool, sort: tuple[str, ...] = ()) -> DataFrame:
+    """Bring rows of one partition value together in tasks of even size, in order of
+    ``sort`` inside each.
 
     The ``rebalance`` hint shuffles once by the partition column and lets adaptive
     execution split a large value and merge small ones from measured sizes; a range
     repartitioning would run the whole plan a second time to sample it.
     """
-    return df.hint("rebalance", F.col(by)) if by and cluster else df
+    if by and cluster:
+        df = df.hint("rebalance", F.col(by))
+    # the writer keeps an order that begins with the partition column
+    return df.sortWithinPartitions(by, *sort) if by and sort else df
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet",
-                      cluster=None, merge_schema: bool = True) -> None:
-    """K1: overwrite the partitions of ``path`` that ``df`` contains.
+#: Folder beside a table's partitions that holds its schemas; readers of files skip it.
+SCHEMAS = "_schemas"
 
-    Without ``cluster`` the frame's own partitioning is kept (every task may
-    then write a small file into every date it holds).
-    """
-    with dynamic_overwrite(df.sparkSession):
-        (_clustered(df, by, cluster).write.format(fmt).mode("overwrite").partitionBy(by)
-            .option("mergeSchema", str(merge_schema).lower()).save(path))
+
+def _schema_files(spark: SparkSession, path: str) -> list[str]:
+    """The table's schema files in the order they were written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{SCHEMAS}")
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return sorted(str(f.getPath().toString()) for f in system.listStatus(folder))
 
 
-def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet",
-                     merge_schema: bool = False) -> DataFrame:
-    """Read a K1 table back (partition column restored from the folder names).
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema of a K1 table: every column that any run wrote."""
+    files = _schema_files(spark, path)
+    if not files:
+        return None
+    return StructType.fromJson(json.loads(spark.read.text(files[-1], wholetext=True).first()[0]))
 
-    ``merge_schema`` reads every footer first; only a table whose columns changed
-    between runs needs it."""
-    return spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()).load(path)
+
+def _grown(known: StructType | None, new: StructType, by: str) -> StructType:
+    """``known`` with the columns that are only in ``new`` behind its own."""
+    if known is None:
+        return new
+    types = {f.name.lower(): f.dataType for f in known.fields}
+    for f in new.fields:
+        old = types.get(f.name.lower(), f.dataType)
+        if old.simpleString() != f.dataType.simpleString():
+            raise ValueError(f"column {f.name} is {old.simpleString()} in the table, "
+                             f"{f.dataType.simpleString()} in the frame")
+    extra = [f for f in new.fields if f.name.lower() not in types]
+    last = [f for f in known.fields if f.name.lower() == by.lower()]
+    return StructType([f for f in known.fields if f not in last] + extra + last)
+
+
+def write_partitioned(df: DataFrame, path: str, by: str, fmt: str = "parquet",
+                      cluster: bool = False, sort: tuple[str, ...] = ()) -> None:
+    """K1: overwrite the partitions of ``path`` that ``df`` contains.
+
+    The table's schema is kept beside its data (``_schemas``, one small file for each
+    change) and grows with the columns of ``df``: a column that a run adds is NULL in
+    partitions written before, one that a run lacks is NULL in its partitions. A
+    column of another type is refused before anything is written. The schema is
+    written first, so a run that fails leaves at most a column without values.
+
+    Without ``cluster`` the frame's own partitioning is kept (every task may then
+    write a small file into every date it holds). ``sort`` orders the rows of every
+    file, so that readers that filter on these columns skip row groups by their
+    smallest and largest values.
+    """
+    spark = df.sparkSession
+    files = _schema_files(spark, path)
+    known = stored_schema(spark, path)
+    schema = _grown(known, StructType([f for f in df.schema.fields if f.name != by]
+                                      + [df.schema[by]]), by)
+    if schema != known:
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode(
+            "overwrite").text(f"{path}/{SCHEMAS}/{len(files):08d}")
+    with dynamic_overwrite(spark):
+        (_clustered(df, by, cluster, sort).write.format(fmt).mode("overwrite").partitionBy(by)
+            .save(path))
+
+
+def read_partitioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Read a K1 table back by its stored schema, without opening any footer first (the
+    partition column is restored from the folder names). A table of another writer has
+    no stored schema and is read by Spark's own rule."""
+    schema = stored_schema(spark, path)
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None,
@@ -73,7 +131,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str] |
 
 
 def write_insert_into(df: DataFrame, table: str, by: str | None = None,
-                      cluster=None) -> None:
+                      cluster: bool = False) -> None:
     """K3: ``insertInto`` an existing partitioned catalog table with overwrite.
 
     Columns are matched by position, so ``df`` must follow the table's order
@@ -81,3 +139,17 @@ def write_insert_into(df: DataFrame, table: str, by: str | None = None,
     """
     with dynamic_overwrite(df.sparkSession):
         _clustered(df, by, cluster).write.mode("overwrite").insertInto(table)
+
+
+def store_bucketed(df: DataFrame, table: str, key: str, buckets: int,
+                   path: str | None = None) -> DataFrame:
+    """``df`` as a catalog table of ``buckets`` files dealt by ``key``, sorted by it.
+
+    Joins and groupings on ``key`` read such a table without an exchange. Rows whose
+    key is NULL share a bucket, so keep tables here whose key is an id. With ``path``
+    the files lie there, and outlive the table's name.
+    """
+    out = (df.repartition(buckets, F.col(key)).write.format("parquet").mode("overwrite")
+           .bucketBy(buckets, key).sortBy(key))
+    (out.option("path", path) if path else out).saveAsTable(table)
+    return df.sparkSession.table(table)
