@@ -93,3 +93,21 @@ def test_a_language_of_many_characters_does_not_loosen_the_others(spark):
     assert all(out[i].rejected for i, _, _ in odd)
     assert not any(out[i].rejected for i, _, _ in rows + mixed)
     assert all(out[i].lang_pred == lang for i, _, lang in rows)
+
+
+def test_letters_beyond_16_bits_are_told_apart(spark):
+    """Two languages of one script, and two of another, all beyond U+FFFF."""
+    rng = random.Random(9)
+    scripts = {"g": [chr(c) for c in range(0x10330, 0x10349) if chr(c).isalpha()],
+               "b": [chr(c) for c in range(0x10000, 0x1000C) if chr(c).isalpha()]}
+    words = {s + n: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(40)]
+             for s, letters in scripts.items() for n in "12"}
+    rows = [(i, " ".join(rng.choice(words[x]) for _ in range(30)), x)
+            for i in range(400) for x in [sorted(words)[i % 4]]]
+    out = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    held = [r for r in out if r.held_out]
+    want = {i: x for i, _, x in rows}
+    assert len(held) > 80 and sum(r.lang_pred == want[r.doc_id] for r in held) / len(held) > 0.95
+    table = language_id._letters()
+    own = table[[c for c in range(0x10000, 0x10900) if chr(c).isalpha()]]
+    assert len(set(own.tolist())) == len(own) and not any(chr(c).isalpha() for c in own.tolist())

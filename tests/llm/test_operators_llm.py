@@ -69,7 +69,8 @@ def test_exact_dedup(docs, texts):
         assert r.text_sha256 == hashlib.sha256(norm[i].encode()).hexdigest()
 
 
-def test_line_dedup(docs, texts):
+@pytest.mark.parametrize("min_docs", [1, 2, 3])
+def test_line_dedup(docs, texts, min_docs):
     holders = collections.defaultdict(set)
 
     def key(line):
@@ -79,8 +80,9 @@ def test_line_dedup(docs, texts):
     for i, t in texts.items():
         for line in t.split("\n"):
             holders[key(line)].add(i)
-    for i, r in by_id(line_dedup.line_dedup(docs)).items():
-        kept = [x for x in texts[i].split("\n") if key(x) is None or min(holders[key(x)]) == i]
+    for i, r in by_id(line_dedup.line_dedup(docs, min_docs=min_docs)).items():
+        kept = [x for x in texts[i].split("\n") if key(x) is None or min(holders[key(x)]) == i
+                or len(holders[key(x)]) < min_docs]
         assert r.text == "\n".join(kept) and r.n_lines == len(texts[i].split("\n"))
         assert r.n_dropped == r.n_lines - len(kept)
 

@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlens.llm.common import Scratch, documents, pieces, shared_folder
+from visitlens.operators.joins import broadcast_if_bounded
 
 ORDER = 4
 REJECT_Z = 8.0
@@ -52,19 +53,29 @@ LANGUAGES_AT_ONCE = 16
 HELD = 128 << 20
 RARE = 10_000
 RANGE_ROWS = 200_000
+#: Tables of one row per language are broadcast up to this number of rows.
+FEW = 100_000
 TEMPERATURES = tuple(2.0 ** (k / 2) for k in range(-16, 5))
 SPACE = 32
 _LETTERS: list[np.ndarray] = []
 
 
 def _letters() -> np.ndarray:
-    """For every code point: itself if it is a letter (0xFFFF beyond 16 bits), else
-    a space."""
+    """For every code point: a 16-bit number of its own if it is a letter, else a space.
+
+    Letters up to U+FFFF are their own numbers. Those beyond take the numbers of the
+    code points up to U+FFFF that are no letters, in order and from the first again when
+    these run out (they are about 16,000): letters that share one lie that far apart, so
+    never in one script's block of fewer letters.
+    """
     if not _LETTERS:
         table = np.full(0x110000, SPACE, dtype=np.uint16)
-        for c in range(0x110000):
-            if chr(c).isalpha():
-                table[c] = min(c, 0xFFFF)
+        letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
+        low = np.flatnonzero(letter[:0x10000])
+        table[low] = low
+        free = np.setdiff1d(np.arange(1, 0x10000), np.append(low, SPACE))
+        high = np.arange(0x10000, 0x110000)
+        table[high] = np.where(letter[high], free[(high - 0x10000) % len(free)], SPACE)
         _LETTERS.append(table)
     return _LETTERS[0]
 
@@ -327,7 +338,7 @@ def fit(languages: list[str], counts: DataFrame) -> Table:
         back = scratch.save(
             levels[order].groupBy("lang", context.alias("context")).agg(
                 F.sum("n").alias("total"), F.count(F.lit(1)).alias("seen"))
-            .join(F.broadcast(discounts), "lang")
+            .join(broadcast_if_bounded(discounts, FEW), "lang")
             .select("lang", "context", "total", "d", (F.col("d") * F.col("seen") / F.col("total")).alias("w")),
             f"contexts{order}")
         rows = levels[order].withColumn("context", context).join(back, ["lang", "context"])
@@ -354,7 +365,7 @@ def _random_letters(counts: DataFrame, many: int) -> list[float]:
     chars = counts.groupBy("lang", F.col("gram").bitwiseAND(F.lit(0xFFFF)).alias("char")).agg(
         F.sum("n").alias("n"))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    sizes = chars.join(F.broadcast(totals), "lang").groupBy("lang").agg(
+    sizes = chars.join(broadcast_if_bounded(totals, FEW), "lang").groupBy("lang").agg(
         F.count_if(F.col("n") * RARE >= F.col("total")).alias("size"))
     by = {r["lang"]: r["size"] for r in sizes.collect()}  # one row per language
     return [float(np.log(by.get(i, 0) + 1)) for i in range(many)]
@@ -384,7 +395,7 @@ def _dealt(rows: DataFrame, fitting: int, calibrating: int,
     short = F.expr("no_a OR no_b")
     top, fits = F.expr("key = most"), F.col("fold") == fitting
     # one row per language
-    dealt = rows.join(F.broadcast(of), "lang").select(
+    dealt = rows.join(broadcast_if_bounded(of, FEW), "lang").select(
         "lang", "text",
         F.when(~short, fits).otherwise(F.col("alone") | (F.col("no_a") == top)).alias("fits"),
         F.when(~short, ~fits).otherwise(F.col("alone") | (F.col("no_a") != top)).alias("calibrates"))
@@ -447,7 +458,10 @@ def predict(docs: DataFrame, trained: LanguageId | None) -> DataFrame:
 
 def recognised(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, as they are."""
-    return judged(docs, train(docs), docs.columns).filter("NOT _rejected").select(*docs.columns)
+    # by place, so that no column of docs can have a name that is used here
+    names = ["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)]
+    kept = judged(docs.toDF(*names), train(docs), names).filter("NOT _rejected")
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def identify(docs: DataFrame) -> DataFrame:

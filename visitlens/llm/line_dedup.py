@@ -2,13 +2,13 @@
 
 Lines are exploded as 16-byte hashes of their keys (the line stripped of white
 space at both ends, A-Z lower-cased; keys under ``min_chars`` code points are
-left alone). The count of distinct documents per hash is taken as smallest and
-largest document (they differ if and only if there are two), which partial
-aggregation keeps at one row per hash and task, so a line that every document
-holds costs no more than another. The shared hashes are written and joined back
-on plain exchanges, which adaptive execution splits for a hot line; only hashes,
-ids and positions travel. Each text is shuffled once, to meet its dropped
-positions, and reassembled from its other lines by position.
+left alone). Distinct documents are counted per hash from distinct (hash,
+document) rows, with partial sums at both steps, and lines of at least
+``min_docs`` documents are dropped from all but the smallest. The shared hashes
+are written and joined back on plain exchanges, which adaptive execution splits
+for a hot line; only hashes, ids and positions travel. Each text is shuffled
+once, to meet its dropped positions, and reassembled from its other lines by
+position.
 
 Defined results: NULL and empty text are one empty line; rows without ``doc_id``
 count as one document with the largest id; rows that repeat a ``doc_id`` are one
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from visitlens.llm.common import SPACES, Scratch, ascii_lower, documents
 
 MIN_CHARS = 10
+#: A line is shared from this number of documents on.
+MIN_DOCS = 2
 NO_ID = (1 << 63) - 1
 
 
@@ -42,16 +44,28 @@ def _line_hashes(keyed: DataFrame, min_chars: int) -> DataFrame:
             .select("_id", "_sig", "_pos", F.unhex(F.md5("_key")).alias("_hash")))
 
 
-def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``doc_id, n_lines, n_dropped, text`` with the shared lines dropped."""
+def shared_lines(lines: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``_hash, n_docs, _first``: the lines that at least ``min_docs`` documents hold, and
+    the smallest of these.
+
+    Distinct documents are counted in two steps, both with partial sums: rows of one
+    (line, document) become one, then they are counted by line. No line's documents
+    are gathered.
+    """
+    return lines.select("_hash", "_id").distinct().groupBy("_hash").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.min("_id").alias("_first")).filter(
+        F.col("n_docs") >= min_docs)
+
+
+def line_dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``doc_id, n_lines, n_dropped, text`` with the lines that at least ``min_docs``
+    documents hold dropped, but for the smallest of these."""
     scratch = Scratch(docs.sparkSession, "line-dedup")
     keyed = _keyed(docs)
     lines = scratch.save(_line_hashes(keyed, min_chars), "lines")
-    shared = scratch.save(
-        lines.groupBy("_hash").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
-        .filter("_first < _last").select("_hash", "_first"), "shared")
+    shared = scratch.save(shared_lines(lines, min_docs), "shared")
     dropped = scratch.save(
-        lines.join(shared, "_hash").filter("_id <> _first").select("_id", "_sig", "_pos"),
+        lines.join(shared.drop("n_docs"), "_hash").filter("_id <> _first").select("_id", "_sig", "_pos"),
         "dropped")
     gone = dropped.groupBy("_id", "_sig").agg(F.collect_set("_pos").alias("_gone"))
     parts = F.split("text", "\n", -1)
