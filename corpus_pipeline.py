@@ -29,10 +29,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def _numbered(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` saved with a number of each row, ``_row``, so that what is decided by
-    row meets that row alone, also where a ``doc_id`` repeats or is missing."""
-    return Scratch(spark, name).save(
-        docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    """``row, doc``: the rows of ``docs``, each whole in one column, saved with a number,
+    so that what is decided by row meets that row alone, also where a ``doc_id`` repeats
+    or is missing, and no column of ``docs`` can meet a name that is used here."""
+    return Scratch(spark, name).save(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "rows")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,15 +42,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     those that repeat or lack a ``doc_id`` are texts like others; rows without words
     are copies if they share a ``doc_id``."""
     rows = _numbered(spark, docs, "near-dedup-input")
-    found = hyperminhash.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"))
-    found = found.select(F.col("doc_id").alias("_row"), "n_shingles", "component_id").join(
-        rows.select("_row", "doc_id"), "_row")
+    found = hyperminhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "doc.text"))
+    found = found.select(F.col("doc_id").alias("row"), "n_shingles", "component_id").join(
+        rows.select("row", "doc.doc_id"), "row")
     same = F.expr("n_shingles = 0 AND doc_id IS NOT NULL")
     kept = found.groupBy(F.when(same, F.col("doc_id")).alias("empty"),
                          F.when(~same, F.col("component_id")).alias("group")).agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("first"))
-    return rows.join(kept.select(F.col("first._row").alias("_row")), "_row", "left_semi").select(
-        *docs.columns)
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
+    return rows.join(kept.select(F.col("first.row").alias("row")), "row", "left_semi").select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,23 +59,23 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(spark, docs, "mixing-input")
-    mixed = source_mixing.mix(source_mixing.sized(rows, "_row"), rows="_row").select(
-        "_row", F.col("size").alias("_size"), "taken")
+    sizes = source_mixing.sized(rows.select("row", "doc.doc_id", "doc.source", "doc.text"), "row")
+    mixed = source_mixing.mix(sizes, rows="row").select("row", "size", "taken")
     word = "[^\\x20\\x09-\\x0D]+"
-    rest = F.col("taken") % F.greatest("_size", F.lit(1))
-    full = F.floor(F.col("taken") / F.greatest("_size", F.lit(1))).cast("int")
+    rest = F.col("taken") % F.greatest("size", F.lit(1))
+    full = F.floor(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
     copies = F.when(full > 0, F.array_repeat(F.lit(-1).cast("long"), full)).otherwise(
         F.array().cast("array<bigint>"))
     copies = F.concat(copies, F.when(rest > 0, F.array(rest)).otherwise(
         F.array().cast("array<bigint>")))
-    taken = rows.join(mixed.filter("taken > 0"), "_row")
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(word), F.lit(0)),
-                               F.lit(1), F.greatest(F.lit(1), F.col("_cut")).cast("int")), " ")
-    text = F.when(F.col("_cut") < 0, F.col("text")).otherwise(cut)
-    out = taken.withColumn("_cut", F.explode(copies)).withColumn("text", text)
+    taken = rows.join(mixed.filter("taken > 0"), "row").withColumn("cut", F.explode(copies))
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("doc.text"), F.lit(word), F.lit(0)),
+                               F.lit(1), F.greatest(F.lit(1), F.col("cut")).cast("int")), " ")
+    text = F.when(F.col("cut") < 0, F.col("doc.text")).otherwise(cut)
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.length(text).cast(dict(docs.dtypes)["n_chars"])
+    return taken.select(*[changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def write_token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
