@@ -234,11 +234,10 @@ class FrameReader:
     def __iter__(self):
         """(doc_id, ids) of every document in order, one frame in memory."""
         last, plain = -1, b""
-        for d in self.docs:
-            if d["frame"] != last:
-                last, plain = int(d["frame"]), self.frame(int(d["frame"]))
-            at = 4 * int(d["at"])
-            yield (None if d["null"] else int(d["id"])), plain[at:at + 4 * int(d["n"])]
+        for doc_id, null, frame, at, n in self.docs.tolist():
+            if frame != last:
+                last, plain = frame, self.frame(frame)
+            yield (None if null else doc_id), plain[4 * at:4 * (at + n)]
 
     def read(self, doc_id: int) -> list[np.ndarray]:
         """The ids of the documents with this id, from their frames alone."""
