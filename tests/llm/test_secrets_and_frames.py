@@ -57,7 +57,7 @@ def test_frames_hold_the_library_s_ids_for_odd_texts():
     library, encoder = Tokenizer.from_file(path), token_frames.Encoder(path)
     rng = random.Random(4)
     bits = ["a", "b", " ", "  ", "\n", "\x00", "\x01", "\x7f", "\xff", "\x85", "\xa0", "\t", "\x1c", "'s",
-            "Ā", "\U00010348", "9", "<|endoftext|>", "!", "　"]
+            "Ā", "\U00010348", "9", "<|endoftext|>", "!", ",", "$$", ".", "　"]
     texts = [" \x00b", "a \x00b", "\x00", " \x00", "\x00 \x00\x00 b"] + [
         "".join(rng.choice(bits) for _ in range(rng.randint(0, 12))) for _ in range(5000)]
     import numpy as np

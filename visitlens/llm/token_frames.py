@@ -52,6 +52,10 @@ _HINTS = (b"\t", b"\r", b"\x0b", b"\x0c", b"\x1c", b"\x1d", b"\x1e", b"\x1f", b"
           b"\xe1\x9a", b"\xe2\x80", b"\xe2\x81", b"\xe3\x80\x80")
 
 
+#: Marks that words often end in.
+_MARKS = b".,;:!?$%&#*()"
+
+
 class _Units(dict):
     """Ids by unit; what is not there is noted."""
 
@@ -68,7 +72,8 @@ class Encoder:
 
     Such a vocabulary splits every text where white space follows anything else,
     so a text is the sequence of its units (white space with what follows) and a
-    unit is encoded once while the worker remembers it. Texts with other white
+    unit is encoded once while the worker remembers it, a word and the marks behind it
+    apart where the vocabulary splits them. Texts with other white
     space than space and newline, or with what may be a special string, go through
     the library whole.
     """
@@ -85,7 +90,11 @@ class Encoder:
         for token, i in vocab.items():
             self.sizes[i] = len(token)  # a byte-level token has a letter per byte
         self.units = _Units()
+        self.marks: dict[bytes, bytes] = {}
         self.most = most
+        # whether a word and the marks behind it are always split
+        pieces = self.library.pre_tokenizer.pre_tokenize_str
+        self.splits = all(len(pieces(c + chr(m))) == 2 for c in "a0" for m in _MARKS)
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         got = self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
@@ -113,10 +122,29 @@ class Encoder:
                 at = cut
         return out
 
+    def _learn(self, wanted: list[bytes]) -> None:
+        """Remember the ids of units; a word and the marks behind it are encoded apart."""
+        units, marks, whole, split = self.units, self.marks, [], []
+        for u in dict.fromkeys(wanted):
+            stem = u.rstrip(_MARKS) if self.splits else u
+            if stem != u and stem[-1:].isalnum():
+                split.append((u, stem, u[len(stem):]))
+                if stem not in units:
+                    whole.append(stem)
+            else:
+                whole.append(u)
+        whole = [*dict.fromkeys(whole)]
+        units.update(zip(whole, self._encode_units([
+            k[1:] if k[:1] == AT_START else k if k[:1] == b"\n" else b" " + k for k in whole])))
+        new = [*dict.fromkeys(m for _, _, m in split if m not in marks)]
+        marks.update(zip(new, self._encode(new)))
+        units.update((u, units[stem] + marks[mark]) for u, stem, mark in split)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids (little-endian unsigned 32-bit) of texts in UTF-8."""
         if len(self.units) > self.most:
             self.units.clear()
+            self.marks.clear()
         out, units, late, whole = [b""] * len(texts), self.units, [], []
         units.wanted = []
         for i, text in enumerate(texts):
@@ -135,9 +163,7 @@ class Encoder:
             else:
                 out[i] = b"".join(found)
         if units.wanted:
-            wanted = [*dict.fromkeys(units.wanted)]
-            units.update(zip(wanted, self._encode_units([
-                k[1:] if k[:1] == AT_START else k if k[:1] == b"\n" else b" " + k for k in wanted])))
+            self._learn(units.wanted)
         for i, parts, found in late:
             out[i] = b"".join([units[k] if v is None else v for k, v in zip(parts, found)])
         if whole:
