@@ -13,11 +13,13 @@ pair with the token ending where it begins - so states are finite in number and
 the next is determined. They are made when first met and kept in the worker up
 to ``MAX_STATES``, then made anew; counts do not depend on that.
 
-Long texts are cut into chunks that are mapped in parallel. White space resets
-the transducer, so a chunk's state map is: what it has before its first white
-space (read in whatever state comes in), the count from there to its last white
-space, and what it has behind (which fixes the state going out). Such maps
-compose associatively; a scan over the maps of a text gives its count.
+Long texts are cut into chunks that are mapped in parallel. White space and digits
+(each a piece of its own) reset the transducer, so a chunk's state map is: what it
+has up to the first of these (read in whatever state comes in), the count from there
+to the last one, and what it has behind (which fixes the state going out). Such maps
+compose associatively, so they are scanned in parallel: those of each run of ``FAN``
+chunks become one map, and these become the text's count. A chunk with neither white
+space nor digits passes the state on and so maps to its own text.
 
 Defined results: NULL text is empty (0 tokens); special strings inside a text
 count as one token each, as the library's default has it; each row is a document
@@ -28,7 +30,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,10 @@ from visitlens.llm.common import documents, pieces
 
 MAX_STATES = 200_000
 CHUNK_CHARS = 1 << 16
+#: Chunk maps that become one; its square of chunks is more than the longest text has.
+FAN = 256
 LIMIT = 2048
-_GAP = re.compile(r"[ \t-\r]")
+_GAPS = " \t\n\x0b\x0c\r"
 
 
 def byte_letters() -> dict[str, int]:
@@ -102,6 +105,8 @@ class CountTransducer:
         self.pieces = library.pre_tokenizer.pre_tokenize_str
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.resets = _GAPS + "".join(d for d in "0123456789" if not any(d in t for t in special))
+        self.reset_at = re.compile(f"[{self.resets}]")
         vocab = model["vocab"]
         self.rank = {(vocab[x], vocab[y]): (rank, vocab[x + y])
                      for rank, (x, y) in enumerate(model["merges"])}
@@ -233,27 +238,32 @@ class CountTransducer:
     # -- state maps of chunks -------------------------------------------------
 
     def chunk_map(self, text: str) -> tuple[str, int, str | None]:
-        """(before the first gap, count up to the last gap, behind it); the last is
-        None if the chunk has no gap and so passes the incoming state on."""
-        first = _GAP.search(text)
+        """(up to the first reset, count up to the last one, behind it); the last is
+        None if the chunk has no reset and so passes the incoming state on."""
+        first = self.reset_at.search(text)
         if first is None:
             return text, 0, None
-        behind = max(text.rfind(c) for c in " \t\n\x0b\x0c\r")
-        return text[:first.start()], self.count(text[first.start():behind]), text[behind + 1:]
-
-    def compose(self, a: tuple, b: tuple) -> tuple:
-        if a[2] is None and b[2] is None:
-            return a[0] + b[0], 0, None
-        if a[2] is None:
-            return a[0] + b[0], b[1], b[2]
-        if b[2] is None:
-            return a[0], a[1], a[2] + b[0]
-        return a[0], a[1] + self.count(a[2] + b[0]) + b[1], b[2]
+        behind = max(text.rfind(c) for c in self.resets) + 1
+        return text[:first.end()], self.count(text[first.end():behind]), text[behind:]
+
+    def compose(self, maps: list[tuple]) -> tuple[str, int, str | None]:
+        """The map of chunks that follow each other, from theirs."""
+        head, count, behind = [], 0, None
+        for before, n, after in maps:
+            if behind is None:
+                head.append(before)
+            else:
+                behind.append(before)
+            if after is not None:
+                count += n + (self.count("".join(behind)) if behind else 0)
+                behind = [after]
+        return "".join(head), count, None if behind is None else "".join(behind)
 
     def total(self, chunk: tuple) -> int:
         return self.count(chunk[0]) + chunk[1] + self.count(chunk[2] or "")
 
 
+_MAP = "head string, count long, tail string"
 _MADE: dict[str, CountTransducer] = {}
 
 
@@ -263,43 +273,46 @@ def transducer(path: str) -> CountTransducer:
     return _MADE[path]
 
 
-def _mapped(vocabulary: str, scan: bool):
-    """Chunk maps of ``chunk``; with ``scan`` the sum of a text that is one chunk."""
+def _columns(maps: list[tuple]) -> dict:
+    return {name: pa.array([m[k] for m in maps], kind) for k, (name, kind) in enumerate(
+        (("head", pa.string()), ("count", pa.int64()), ("tail", pa.string())))}
+
+
+def _mapped(vocabulary: str, whole: bool):
+    """Chunk maps of ``chunk``; with ``whole`` the counts, as each chunk is a text."""
     def run(batches):
         machine = transducer(vocabulary)
         for batch in pieces(batches):
-            maps = [machine.chunk_map(t) for t in batch.column("chunk").to_pylist()]
+            chunks = batch.column("chunk").to_pylist()
             columns = {n: batch.column(n) for n in batch.schema.names if n != "chunk"}
-            if scan:
-                yield pa.RecordBatch.from_pydict(columns | {
-                    "n_tokens": pa.array(map(machine.total, maps), pa.int64())})
-            else:
-                yield pa.RecordBatch.from_pydict(columns | {
-                    "head": pa.array([m[0] for m in maps], pa.string()),
-                    "count": pa.array([m[1] for m in maps], pa.int64()),
-                    "tail": pa.array([m[2] for m in maps], pa.string())})
+            yield pa.RecordBatch.from_pydict(columns | (
+                {"n_tokens": pa.array(map(machine.count, chunks), pa.int64())} if whole
+                else _columns([machine.chunk_map(t) for t in chunks])))
     return run
 
 
-def _scanned(vocabulary: str):
+def _composed(vocabulary: str, last: bool):
     def run(batches):
         machine = transducer(vocabulary)
-        for batch in pieces(batches):
-            totals = [machine.total(reduce(machine.compose, [
-                (m["head"], m["count"], m["tail"]) for m in maps]))
-                for maps in batch.column("maps").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_bytes"), pa.array(totals, pa.int64())],
-                ["doc_id", "n_bytes", "n_tokens"])
+        for batch in pieces(batches, 1):
+            maps = [machine.compose([(m["head"], m["count"], m["tail"]) for m in own])
+                    for own in batch.column("maps").to_pylist()]
+            columns = {n: batch.column(n) for n in batch.schema.names if n != "maps"}
+            if last:
+                yield pa.RecordBatch.from_pydict(columns | {
+                    "n_tokens": pa.array(map(machine.total, maps), pa.int64())})
+            else:
+                yield pa.RecordBatch.from_pydict(columns | _columns(maps))
     return run
 
 
-def token_counts(docs: DataFrame, vocabulary: str, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+def token_counts(docs: DataFrame, vocabulary: str, chunk_chars: int = CHUNK_CHARS,
+                 fan: int = FAN) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` of every row of ``docs``.
 
     Texts of one chunk are counted where they are read. The chunks of longer ones
     are dealt out singly, and their maps (two fragments and a number each) meet
-    again by text for the scan.
+    again by runs of ``fan`` chunks, then by text.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
@@ -309,18 +322,22 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk_chars: int = CHUNK_CHAR
              .select("doc_id", "n_bytes", F.col("text").alias("chunk"))
              .mapInArrow(_mapped(vocabulary, True), kinds + "n_tokens long"))
     starts = F.sequence(F.lit(0), F.floor((F.length("text") - 1) / chunk_chars).cast("int"))
-    cut = (rows.filter(F.length("text") > chunk_chars)
-           .withColumn("row", F.monotonically_increasing_id())
-           .select("row", "doc_id", "n_bytes", F.posexplode(
-               F.transform(starts, lambda i: F.substring(
-                   F.col("text"), i * chunk_chars + 1, F.lit(chunk_chars)))).alias("nth", "chunk"))
-           .repartition("row", "nth")
-           .mapInArrow(_mapped(vocabulary, False),
-                       "row long, " + kinds + "nth int, head string, count long, tail string"))
-    large = cut.groupBy("row", "doc_id", "n_bytes").agg(F.array_sort(F.collect_list(
-        F.struct("nth", "head", "count", "tail"))).alias("maps"))
-    large = large.select("doc_id", "n_bytes", "maps").mapInArrow(
-        _scanned(vocabulary), kinds + "n_tokens long")
+    maps = (rows.filter(F.length("text") > chunk_chars)
+            .withColumn("row", F.monotonically_increasing_id())
+            .select("row", "doc_id", "n_bytes", F.posexplode(
+                F.transform(starts, lambda i: F.substring(
+                    F.col("text"), i * chunk_chars + 1, F.lit(chunk_chars)))).alias("nth", "chunk"))
+            .repartition("row", "nth")
+            .mapInArrow(_mapped(vocabulary, False), f"row long, {kinds}nth int, {_MAP}"))
+
+    def grouped(run):
+        return maps.groupBy("row", "doc_id", "n_bytes", run.alias("run")).agg(F.array_sort(
+            F.collect_list(F.struct("nth", "head", "count", "tail"))).alias("maps"))
+
+    maps = grouped(F.floor(F.col("nth") / fan).cast("int")).withColumnRenamed("run", "nth").mapInArrow(
+        _composed(vocabulary, False), f"row long, {kinds}nth int, {_MAP}")
+    large = grouped(F.lit(0)).select("doc_id", "n_bytes", "maps").mapInArrow(
+        _composed(vocabulary, True), f"{kinds}n_tokens long")
     return small.unionByName(large)
 
 
