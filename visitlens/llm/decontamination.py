@@ -340,7 +340,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                        block_words: int = BLOCK_WORDS) -> DataFrame:
     """``row, doc_id, n_words, ranges, items`` of every document: where windows of
     the benchmark occur (word places, end exclusive) and of which items."""
-    texts = docs.select(F.monotonically_increasing_id().cast("string").alias("key"), "doc_id", "text")
+    texts = docs.select(F.monotonically_increasing_id().cast("string").alias("key"),
+                        F.col("doc_id").cast("long").alias("doc_id"), "text")
     found, hits, of_items = _joined(texts, benchmark, window, block_words)
     ranges = hits.groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
     of_items = broadcast_if_bounded(of_items.filter("item_id IS NOT NULL"), FEW_WINDOWS)
