@@ -13,13 +13,18 @@ pair with the token ending where it begins - so states are finite in number and
 the next is determined. They are made when first met and kept in the worker up
 to ``MAX_STATES``, then made anew; counts do not depend on that.
 
-Long texts are cut into chunks that are mapped in parallel. White space and digits
-(each a piece of its own) reset the transducer, so a chunk's state map is: what it
-has up to the first of these (read in whatever state comes in), the count from there
-to the last one, and what it has behind (which fixes the state going out). Such maps
-compose associatively, so they are scanned in parallel: those of each run of ``FAN``
-chunks become one map, and these become the text's count. A chunk with neither white
-space nor digits passes the state on and so maps to its own text.
+Long texts are cut into chunks that are mapped in parallel. A chunk has places whose
+state is known whatever state comes in. Most are places of rest: white space, digits
+(each a piece of its own), the border of a letter and a mark. Inside one long run of
+letters they are places whose state follows from the bytes just before: tokens are of
+bounded length, so the tokens that may end at a place follow from those that may end at
+the places before it, and where one is left for each open cut the state is proven.
+So a chunk's state map is: what it has up to the first such place (read in whatever
+state comes in), the count from there to the last one, the state there and what it has
+behind. Such maps compose associatively, so they are scanned in parallel: those of each
+run of ``FAN`` chunks become one map, and these become the text's count. A chunk without
+a known place (one letter or mark repeated all through it) passes the state on and so
+maps to its own text.
 
 Defined results: NULL text is empty (0 tokens); special strings inside a text
 count as one token each, as the library's default has it; each row is a document
@@ -43,6 +48,10 @@ CHUNK_CHARS = 1 << 16
 FAN = 256
 LIMIT = 2048
 _GAPS = " \t\n\x0b\x0c\r"
+#: Letters that normalising leaves apart from what is before them: Latin, Cyrillic,
+#: kana, Han, Hangul.
+_PLAIN = "A-Za-z\u0410-\u044f\u3041-\u3094\u30a1-\u30f4\u4e00-\u9fa5\uac00-\ud7a3"
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f"
 
 
 def byte_letters() -> dict[str, int]:
@@ -106,7 +115,12 @@ class CountTransducer:
         special = sorted((t["content"] for t in spec["added_tokens"]), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.resets = _GAPS + "".join(d for d in "0123456789" if not any(d in t for t in special))
-        self.reset_at = re.compile(f"[{self.resets}]")
+        marks = "".join(m for m in _MARKS if not any(m in t for t in special))
+        self.reset_at = re.compile(
+            f"[{self.resets}]|(?<=[{_PLAIN}])(?=[{re.escape(marks)}])")
+        self.plain = re.compile(f"[{_PLAIN}]+")
+        self.special_chars = max(map(len, special), default=0)
+        self.lettered = any(self.plain.match(t) for t in special)
         vocab = model["vocab"]
         self.rank = {(vocab[x], vocab[y]): (rank, vocab[x + y])
                      for rank, (x, y) in enumerate(model["merges"])}
@@ -141,6 +155,7 @@ class CountTransducer:
         # that takes each into a larger part
         self.left = {i: self._edge(halves, i, 1) for i in vocab.values()}
         self.right = {i: self._edge(halves, i, 2) for i in vocab.values()}
+        self.longest = max(len(plain) for plain, _ in spelled.values())
         self.max_states = max_states
         self.classes = _Classes(self.pieces)
         self.segments = _Memo(self._segment, 5 * max_states)
@@ -237,33 +252,129 @@ class CountTransducer:
 
     # -- state maps of chunks -------------------------------------------------
 
-    def chunk_map(self, text: str) -> tuple[str, int, str | None]:
-        """(up to the first reset, count up to the last one, behind it); the last is
-        None if the chunk has no reset and so passes the incoming state on."""
-        first = self.reset_at.search(text)
-        if first is None:
-            return text, 0, None
-        behind = max(text.rfind(c) for c in self.resets) + 1
-        return text[:first.end()], self.count(text[first.end():behind]), text[behind:]
+    def _path(self, items: tuple, word: str, closes: bool) -> tuple[tuple, int]:
+        """From a state over a piece or, unless it ``closes``, a part of one: the state
+        behind it and the sum along the path."""
+        if len(self.steps) > 4 * self.max_states:
+            self.reset()
+        context, total, steps = self._context(items), 0, self.steps
+        data = [*word.encode("utf-8")]
+        if closes:
+            data[-1] += 256
+        for symbol in data:
+            context, k = steps.get(context << 9 | symbol) or self._step(context, symbol)
+            total += k
+        return (() if closes else self.items[context]), total
 
-    def compose(self, maps: list[tuple]) -> tuple[str, int, str | None]:
+    def _between(self, state: tuple | None, text: str, closes: bool) -> int:
+        """Tokens of ``text`` from a known state (None: at rest) to rest or, unless it
+        ``closes``, to a place inside its last word."""
+        if state is None and closes:
+            return self.count(text)
+        parts = self.special.split(text) if self.special else [text]
+        total = len(parts) - 1
+        for i, part in enumerate(parts):
+            part = self.normalise(part) if part else ""
+            words = [part[m.start():m.end()]
+                     for m in _PIECE.finditer(part.translate(self.classes))]
+            for k, word in enumerate(words):
+                begun = state is not None and i == k == 0
+                open_end = not closes and i == len(parts) - 1 and k == len(words) - 1
+                total += self._path(state if begun else _REST, word, not open_end)[1]
+        return total
+
+    def _known(self, run: str, last: bool) -> tuple[int, tuple] | None:
+        """The first (or last) place in a run of plain letters, cut out of a longer one,
+        whose state follows from the run alone, and this state."""
+        data, deep = run.lower().encode("utf-8"), self.longest
+        ending: list[list] = [[] for _ in range(len(data) + 1)]
+        alive: list[list] = [[] for _ in range(len(data) + 1)]
+        for k in range(len(data)):
+            node = 0
+            for j in range(k + 1, min(k + deep, len(data)) + 1):
+                node = self.trie[node].get(data[j - 1])
+                if node is None:
+                    break
+                if self.token_at[node] >= 0:
+                    ending[j].append((k, self.token_at[node]))
+                if self.trie[node]:
+                    alive[j].append((k, node))
+        # what may end at each place; None where a token may begin before the run
+        may: list = [None] * min(deep, len(data) + 1)
+        for j in range(len(may), len(data) + 1):
+            may.append([(k, t) for k, t in ending[j]
+                        if may[k] is None or any(self._fits(b, t) for _, b in may[k])])
+
+        def back(j: int) -> dict[int, int]:
+            """The proven cuts before a place, each with the tokens between."""
+            out = {j: 0}
+            while may[j] is not None and len(may[j]) == 1:
+                out[may[j][0][0]] = out[j] + 1
+                j = may[j][0][0]
+            return out
+
+        places, at = [], 0
+        for n, c in enumerate(run.lower()):
+            if n:
+                places.append((n, at))
+            at += len(c.encode("utf-8"))
+        for n, j in reversed(places) if last else places:
+            cuts = [k for k, _ in alive[j]]
+            if n < self.special_chars or any(may[k] is None or len(may[k]) != 1 for k in (*cuts, j)):
+                continue
+            own, items = back(j), []
+            for k, node in alive[j]:
+                other = back(k)
+                shared = max(own.keys() & other.keys(), default=None)
+                if shared is None:
+                    break
+                items.append((node, may[k][0][1], other[shared] - own[shared]))
+            else:
+                return n, (*items, (0, may[j][0][1], 0))
+        return None
+
+    def chunk_map(self, text: str) -> tuple:
+        """(up to the first known place, count up to the last one, behind it, the state
+        there, whether the first is inside a word). A state is None at rest; what is
+        behind is None if the chunk has no known place and passes the state on."""
+        first = self.reset_at.search(text)
+        if first is not None:
+            for start in (max(0, len(text) - 4096), 0):
+                behind = max((m.end() for m in self.reset_at.finditer(text, start)), default=0)
+                if behind:
+                    break
+            return text[:first.end()], self.count(text[first.end():behind]), text[behind:], None, False
+        edge = 4 * self.longest
+        if len(text) > 2 * edge and not self.lettered and self.plain.fullmatch(text):
+            begin, end = self._known(text[:edge], False), self._known(text[-edge:], True)
+            if begin and end:
+                place, behind = begin[0], len(text) - edge + end[0]
+                count = self._path(begin[1], text[place:behind].lower(), False)[1]
+                return text[:place], count, text[behind:], end[1], True
+        return text, 0, None, None, False
+
+    def compose(self, maps: list[tuple]) -> tuple:
         """The map of chunks that follow each other, from theirs."""
-        head, count, behind = [], 0, None
-        for before, n, after in maps:
+        head, count, behind, state, inside = [], 0, None, None, False
+        for before, n, after, out, within in maps:
+            (head if behind is None else behind).append(before)
+            if after is None:
+                continue
             if behind is None:
-                head.append(before)
+                inside = within
             else:
-                behind.append(before)
-            if after is not None:
-                count += n + (self.count("".join(behind)) if behind else 0)
-                behind = [after]
-        return "".join(head), count, None if behind is None else "".join(behind)
+                count += self._between(state, "".join(behind), not within)
+            count, behind, state = count + n, [after], out
+        return "".join(head), count, None if behind is None else "".join(behind), state, inside
 
     def total(self, chunk: tuple) -> int:
-        return self.count(chunk[0]) + chunk[1] + self.count(chunk[2] or "")
+        head, count, behind, state, inside = chunk
+        return self._between(None, head, not inside) + count + self._between(state, behind or "", True)
 
 
-_MAP = "head string, count long, tail string"
+#: The state at the start of a word.
+_REST = ((0, -1, 0),)
+_MAP = "head string, count long, tail string, state string, inside boolean"
 _MADE: dict[str, CountTransducer] = {}
 
 
@@ -274,8 +385,16 @@ def transducer(path: str) -> CountTransducer:
 
 
 def _columns(maps: list[tuple]) -> dict:
-    return {name: pa.array([m[k] for m in maps], kind) for k, (name, kind) in enumerate(
-        (("head", pa.string()), ("count", pa.int64()), ("tail", pa.string())))}
+    heads, counts, tails, states, inside = zip(*maps) if maps else [()] * 5
+    return {"head": pa.array(heads, pa.string()), "count": pa.array(counts, pa.int64()),
+            "tail": pa.array(tails, pa.string()),
+            "state": pa.array([s and json.dumps(s) for s in states], pa.string()),
+            "inside": pa.array(inside, pa.bool_())}
+
+
+def _map(row: dict) -> tuple:
+    state = row["state"] and tuple(map(tuple, json.loads(row["state"])))
+    return row["head"], row["count"], row["tail"], state, row["inside"]
 
 
 def _mapped(vocabulary: str, whole: bool):
@@ -295,8 +414,7 @@ def _composed(vocabulary: str, last: bool):
     def run(batches):
         machine = transducer(vocabulary)
         for batch in pieces(batches, 1):
-            maps = [machine.compose([(m["head"], m["count"], m["tail"]) for m in own])
-                    for own in batch.column("maps").to_pylist()]
+            maps = [machine.compose([*map(_map, own)]) for own in batch.column("maps").to_pylist()]
             columns = {n: batch.column(n) for n in batch.schema.names if n != "maps"}
             if last:
                 yield pa.RecordBatch.from_pydict(columns | {
@@ -311,7 +429,7 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk_chars: int = CHUNK_CHAR
     """``doc_id, n_bytes, n_tokens`` of every row of ``docs``.
 
     Texts of one chunk are counted where they are read. The chunks of longer ones
-    are dealt out singly, and their maps (two fragments and a number each) meet
+    are dealt out singly, and their maps (two fragments, a number and a state each) meet
     again by runs of ``fan`` chunks, then by text.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -332,7 +450,7 @@ def token_counts(docs: DataFrame, vocabulary: str, chunk_chars: int = CHUNK_CHAR
 
     def grouped(run):
         return maps.groupBy("row", "doc_id", "n_bytes", run.alias("run")).agg(F.array_sort(
-            F.collect_list(F.struct("nth", "head", "count", "tail"))).alias("maps"))
+            F.collect_list(F.struct("nth", "head", "count", "tail", "state", "inside"))).alias("maps"))
 
     maps = grouped(F.floor(F.col("nth") / fan).cast("int")).withColumnRenamed("run", "nth").mapInArrow(
         _composed(vocabulary, False), f"row long, {kinds}nth int, {_MAP}")
