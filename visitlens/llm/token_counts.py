@@ -52,6 +52,8 @@ _GAPS = " \t\n\x0b\x0c\r"
 #: kana, Han, Hangul.
 _PLAIN = "A-Za-z\u0410-\u044f\u3041-\u3094\u30a1-\u30f4\u4e00-\u9fa5\uac00-\ud7a3"
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f"
+#: Marks that words often end in.
+_ENDS = b".,;:!?$%&#*()"
 
 
 def byte_letters() -> dict[str, int]:
@@ -163,12 +165,15 @@ class CountTransducer:
 
     def _built(self, ids: list[int]) -> list[list[int]]:
         """The sequences that the merges of ``ids`` pass through."""
-        out = [ids]
+        out, rank = [ids], self.rank.get
         while True:
-            best = min((self.rank[p] for p in zip(ids, ids[1:]) if p in self.rank), default=None)
+            best, at = None, 0
+            for i, pair in enumerate(zip(ids, ids[1:])):
+                got = rank(pair)
+                if got and (best is None or got < best):
+                    best, at = got, i
             if best is None:
                 return out
-            at = next(i for i in range(len(ids)) if self.rank.get((*ids[i:i + 2],)) == best)
             ids = [*ids[:at], best[1], *ids[at + 2:]]
             out.append(ids)
 
@@ -233,7 +238,11 @@ class CountTransducer:
         return total + (steps.get(context << 9 | symbol) or self._step(context, symbol))[1]
 
     def _segment(self, segment: bytes) -> int:
-        """Tokens of a run of text between gaps, which starts and ends at rest."""
+        """Tokens of a run of text between gaps, which starts and ends at rest; a word
+        and the marks behind it are remembered apart, as their border is a place of rest."""
+        stem = segment.rstrip(_ENDS)
+        if stem != segment and stem[-1:].isalnum():
+            return self.segments[stem] + self.segments[segment[len(stem):]]
         if len(self.steps) > 4 * self.max_states:
             self.reset()
         text = segment.decode("utf-8")
