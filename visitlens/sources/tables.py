@@ -20,6 +20,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from visitlens.session import session_conf
 from visitlens.sources import standins
 
 
@@ -82,6 +83,11 @@ class TestdataTables(Tables):
     checkpoint folder; queries read it from there. Every query still does all
     of its own work on every run. Pass ``store=()`` to derive the views on the
     fly instead.
+
+    Rows are dealt out where they are narrow: a base table before a view is
+    derived from it. The views' own rows, of up to a hundred columns, are written
+    by the tasks that made them, as the stored views they come from have several
+    files already.
     """
 
     __test__ = False  # not a pytest class
@@ -98,10 +104,13 @@ class TestdataTables(Tables):
             self[name]
         return self
 
-    def _derive(self, name: str) -> DataFrame:
+    def _derive(self, name: str, files: int | None = None) -> DataFrame:
+        """The view; with ``files``, what it reads that is not stored is dealt to so many tasks."""
         if name in standins.BASE_TABLES or name not in standins.VIEWS:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         refs = {d: self[d] for d in standins.dependencies(name)}
+        if files:
+            refs = {d: df if d in self.store else df.repartition(files) for d, df in refs.items()}
         return self.spark.sql(standins.VIEWS[name], **refs)
 
     def _load(self, name: str) -> DataFrame:
@@ -113,6 +122,8 @@ class TestdataTables(Tables):
 
             path = scratch_path(self.spark, f"standin-{name}")
             files = max(2 * self.spark.sparkContext.defaultParallelism, 2)
-            self._derive(name).repartition(files).write.parquet(path)
+            # a view's exchanges carry narrow rows: their partitions are small beside what is written
+            with session_conf(self.spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k"):
+                self._derive(name, files).write.parquet(path)
             _STORED[key] = path
         return self.spark.read.parquet(_STORED[key])
