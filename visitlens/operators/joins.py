@@ -42,6 +42,18 @@ def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYT
     return n <= max_rows and (total or 0) <= max_bytes
 
 
+def total_bytes(df: DataFrame) -> int:
+    """Approximate in-memory size of ``df`` now, nested fields as long as their text.
+
+    One distributed aggregate, like :func:`has_at_most`."""
+    nested = [f.name for f in df.schema.fields
+              if f.dataType.typeName() in ("array", "map", "struct", "variant")]
+    size = _row_bytes(df.drop(*nested))
+    for c in nested:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+    return df.agg(F.sum(size.cast("long"))).first()[0] or 0
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int,
                          max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows and ``max_bytes``

@@ -65,7 +65,8 @@ def run_daily(t: Tables, visit_cfg: VisitMartConfig, sku_cfg: SkuMartConfig,
     """Both jobs in order; the SKU job reads the freshly written visit mart.
 
     With ``visit_buckets``, the visit master is first stored by ``visit_id`` in so many
-    buckets (table ``visits_table``), and the visit job reads it without an exchange."""
+    buckets, or a multiple if it is large (table ``visits_table``), and the visit job
+    reads it without an exchange."""
     if visit_buckets:
         store_visits(t, visits_table, visit_buckets)
     run_visit_mart(t, visit_cfg, visit_mart_path)
@@ -105,7 +106,8 @@ def _parse(argv=None):
     p.add_argument("--path", action="append", default=[],
                    help="logical=path of a Parquet table (repeatable, in place of --table)")
     p.add_argument("--visit-buckets", type=int,
-                   help="visit job: store the visit master by visit id in so many buckets first")
+                   help="visit job: store the visit master by visit id in so many buckets "
+                        "first (a multiple, if it is large)")
     p.add_argument("--visits-table", default="visits_by_id",
                    help="visit job: name of that stored table")
     return p.parse_args(argv)

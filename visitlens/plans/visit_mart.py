@@ -47,7 +47,8 @@ from visitlens.sources.tables import Tables
 # --- steps ----------------------------------------------------------------
 
 def store_visits(t: Tables, table: str, buckets: int, path: str | None = None) -> Tables:
-    """The visit master stored by ``visit_id`` (``table``, ``buckets`` files), for all that follows.
+    """The visit master stored by ``visit_id`` (``table``, ``buckets`` files or, if it is
+    large, a multiple), for all that follows.
 
     First touch joins its attributes and the mart joins its full rows by ``visit_id``;
     both read the stored copy without an exchange of the master. Worth it where the

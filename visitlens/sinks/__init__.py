@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from visitlens.operators.joins import total_bytes
+
 
 @contextmanager
 def dynamic_overwrite(spark: SparkSession):
@@ -141,14 +143,35 @@ def write_insert_into(df: DataFrame, table: str, by: str | None = None,
         _clustered(df, by, cluster).write.mode("overwrite").insertInto(table)
 
 
+#: A bucket of a stored table is one task's work: more rows than this get more buckets.
+BUCKET_BYTES = 128 * 1024 * 1024
+
+
+def buckets_for(df: DataFrame, buckets: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """``buckets``, or as large a multiple as keeps a bucket of ``df`` near ``bucket_bytes``.
+
+    A table that needs more gets at least as many as a shuffle has partitions: Spark
+    exchanges a side that has fewer again. Multiples of one number stay compatible.
+    """
+    spark = df.sparkSession
+    needed = -(-total_bytes(df) // bucket_bytes)
+    if needed <= buckets:
+        return buckets
+    needed = max(needed, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return buckets * max(min(-(-needed // buckets), most // buckets), 1)
+
+
 def store_bucketed(df: DataFrame, table: str, key: str, buckets: int,
-                   path: str | None = None) -> DataFrame:
-    """``df`` as a catalog table of ``buckets`` files dealt by ``key``, sorted by it.
+                   path: str | None = None, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """``df`` as a catalog table of files dealt by ``key``, sorted by it: ``buckets`` of
+    them, or a multiple for a large ``df`` (:func:`buckets_for`).
 
     Joins and groupings on ``key`` read such a table without an exchange. Rows whose
     key is NULL share a bucket, so keep tables here whose key is an id. With ``path``
     the files lie there, and outlive the table's name.
     """
+    buckets = buckets_for(df, buckets, bucket_bytes)
     out = (df.repartition(buckets, F.col(key)).write.format("parquet").mode("overwrite")
            .bucketBy(buckets, key).sortBy(key))
     (out.option("path", path) if path else out).saveAsTable(table)
