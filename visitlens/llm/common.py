@@ -14,11 +14,18 @@ SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: What Python workers are started with, unless the job says otherwise: freed blocks of
+#: some MB go back to the system. glibc raises its bounds to 32 MB a block as such blocks
+#: come and go, and a worker then keeps the most that any stage took.
+WORKER_ENV = {"MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20)}
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package where it lies on the same path as here
     (local runs, a shared file system); elsewhere it comes with the job's files."""
     root = str(Path(__file__).resolve().parents[2])
-    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    for name, value in {"PYTHONPATH": root, **WORKER_ENV}.items():
+        spark.sparkContext.environment.setdefault(name, value)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
